@@ -6,7 +6,7 @@ from importlib import import_module
 
 from corpus_engine.catalog.base import REGISTRY, Entry
 
-AREAS = ("corpus", "text")
+AREAS = ("corpus", "text", "sampling", "evaluation", "topics", "learning")
 
 
 def load() -> dict[str, Entry]:

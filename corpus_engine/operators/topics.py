@@ -119,7 +119,7 @@ def assign_topics(
     Ties go to the smaller topic id.
     """
     table = centroids.agg(F.sort_array(F.collect_list(F.struct("topic_id", "centroid")))).scalar()
-    rows = df.withColumn("_x", F.col(column).cast("array<double>"))
+    rows = df.withColumns({"_x": F.col(column).cast("array<double>"), "_centres": table})
 
     def gap(c):
         if metric == "cosine":
@@ -127,7 +127,7 @@ def assign_topics(
         return F.sqrt(squared_distance(F.col("_x"), c["centroid"]))
 
     nearest = F.array_min(
-        F.transform(table, lambda c: F.struct(gap(c).alias("d"), c["topic_id"].alias("t")))
+        F.transform("_centres", lambda c: F.struct(gap(c).alias("d"), c["topic_id"].alias("t")))
     )
     found = rows.withColumn("_near", nearest)
     topic = F.col("_near.t")
