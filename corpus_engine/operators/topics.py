@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import PCA, PCAModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,19 +49,24 @@ def embed_documents(features: DataFrame, dim: int = 384, key: str = "id") -> Dat
     return hashed.select(key, vector_to_array(vector, "float32").alias("embedding"))
 
 
-def reduce_dims(df: DataFrame, column: str = "embedding", k: int = 5) -> DataFrame:
-    """Replace an array column by its first ``k`` principal components."""
-    vectors = df.withColumn("_v", _as_vector(df, column))
-    model = PCA(k=k, inputCol="_v", outputCol="_p").fit(vectors)
-    return (
-        model.transform(vectors).withColumn(column, vector_to_array("_p")).select(df.columns)
-    )
+def fit_reducer(df: DataFrame, column: str = "embedding", k: int = 5) -> PCAModel:
+    """Principal components of an array column. The covariance is dim x dim, whatever the rows."""
+    return PCA(k=k, inputCol="_v", outputCol="_p").fit(_with_vector(df, column))
+
 
+def reduce_with(model: PCAModel, df: DataFrame, column: str = "embedding") -> DataFrame:
+    """Replace the array column by its components."""
+    reduced = model.transform(_with_vector(df, column))
+    return reduced.withColumn(column, vector_to_array("_p")).select(df.columns)
+
+
+def reduce_dims(df: DataFrame, column: str = "embedding", k: int = 5) -> DataFrame:
+    """Fit and apply on the same rows."""
+    return reduce_with(fit_reducer(df, column, k), df, column)
 
-def _as_vector(df: DataFrame, column: str):
-    from pyspark.ml.functions import array_to_vector
 
-    return array_to_vector(F.col(column).cast("array<double>"))
+def _with_vector(df: DataFrame, column: str) -> DataFrame:
+    return df.withColumn("_v", array_to_vector(F.col(column).cast("array<double>")))
 
 
 def kmeans_topics(
@@ -73,7 +78,7 @@ def kmeans_topics(
     key: str = "id",
 ) -> DataFrame:
     """``(key, topic_id)`` from cosine k-means; the farthest rows of each cluster become -1."""
-    vectors = df.select(key, column, _as_vector(df, column).alias("_v"))
+    vectors = _with_vector(df.select(key, column), column)
     model = KMeans(k=k, distanceMeasure="cosine", seed=seed, featuresCol="_v", predictionCol="_c").fit(vectors)
     # k centres of `dim` numbers
     centres = df.sparkSession.createDataFrame(
