@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from corpus_engine.functions.stopwords import ENGLISH
 from corpus_engine.operators.clean import clean, drop_short, preprocess
-from corpus_engine.session import spread
+from corpus_engine.session import scratch_path, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,11 +87,32 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_short(clean(articles(spark, sf_dir), order=("id",)))
 
 
-def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned articles with ``text_clean``."""
     return preprocess(cleaned(spark, sf_dir))
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]
+) -> DataFrame:
+    """A table that several queries start from: computed once per application and folder, written
+    to the shared folder, and read from there."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        path = scratch_path(spark, name)
+        build().write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
+def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prepared corpus as a stored table."""
+    return stored(spark, sf_dir, "prepared", lambda: prepare(spark, sf_dir))
+
+
 # --- DuckDB side ------------------------------------------------------------------------------
 
 def with_sql(ctes: str, body: str) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpus_engine.catalog.base import articles, prepared, register, table, tfidf_sql, with_sql
 from corpus_engine.catalog.evaluation import LANGS
-from corpus_engine.catalog.text import SMALL
+from corpus_engine.catalog.text import SMALL, stored_vocab
 from corpus_engine.catalog.topics import class_weights_sql
 from corpus_engine.operators import explain as ex
 from corpus_engine.operators import features as ft
@@ -29,7 +29,7 @@ from corpus_engine.sources import tables as tb
 def given(spark, sf):
     """Features, coefficients and predictions (the true language) of the prepared corpus."""
     docs = prepared(spark, sf).select("id", "lang", "text_clean")
-    vocab = ft.fit_vocabulary(docs.select("id", "text_clean"), **SMALL)
+    vocab = stored_vocab(spark, sf, **SMALL)
     rows = ft.tfidf(docs, vocab).withColumn("tfidf", F.round("tfidf", 6))
     per_class = tp.class_term_weights(docs, "lang")
     arrays = per_class.groupBy("term").agg(
@@ -215,18 +215,16 @@ class Trained:
     """Vocabulary, stored vectors, split, labels and classifier for the language of an article."""
 
     def __init__(self, spark, sf):
-        stored = scratch_path(spark, "trained")
-        tb.write_table(prepared(spark, sf).select("id", "title", "content", "lang", "text_clean"), f"{stored}/articles")
-        self.docs = spark.read.parquet(f"{stored}/articles")
-        tb.write_vocab(ft.fit_vocabulary(self.docs.select("id", "text_clean"), **SMALL), f"{stored}/vocab")
-        self.vocab = tb.read_vocab(spark, f"{stored}/vocab")
-        self.rows = ft.tfidf(self.docs, self.vocab)
-        tb.write_features(ft.feature_structs(self.rows, self.docs, self.vocab), f"{stored}/features")
-        self.vectors = tb.read_features(spark, f"{stored}/features")
+        folder = scratch_path(spark, "trained")
+        self.docs = prepared(spark, sf).select("id", "lang", "text_clean")
+        self.vocab = stored_vocab(spark, sf, **SMALL)
+        entries = ft.document_entries(self.docs.select("id", "text_clean"), self.vocab)
+        tb.write_features(ft.entry_structs(entries, self.vocab), f"{folder}/features")
+        self.vectors = tb.read_features(spark, f"{folder}/features")
         self.labels = md.label_table(self.docs, "lang")
         coded = md.encode_labels(self.docs.select("id", "lang"), self.labels, "lang")
-        sp.stratified_split(coded, "lang").write.parquet(f"{stored}/split")
-        self.split = spark.read.parquet(f"{stored}/split")
+        sp.stratified_split(coded, "lang").write.parquet(f"{folder}/split")
+        self.split = spark.read.parquet(f"{folder}/split")
         self.data = md.labelled_features(self.split, self.vectors)
         self.train = self.data.filter("NOT is_test")
         self.test = self.data.filter("is_test")
@@ -328,7 +326,7 @@ def scored_articles(spark, sf):
     t = classifier(spark, sf)
     labels = t.labels.select("label_idx", F.col("label_idx").alias("topic_id"))
     new = articles(spark, sf).select("id", "title", "content")
-    return sc.score(new, t.model, t.vocab, labels, t.info, t.coef).drop("probability")
+    return sc.score(new, t.model, t.vocab, labels, t.info).drop("probability")
 
 
 @register("M2 E4")
@@ -340,7 +338,7 @@ def runner_up_topics(spark, sf):
         (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.lit(None).cast("string").alias("title"),
         F.col("text").alias("content"),
     )
-    scored = sc.score(talks, t.model, t.vocab, labels, t.info, t.coef)
+    scored = sc.score(talks, t.model, t.vocab, labels, t.info)
     return sc.runners_up(scored, labels, t.info, 3)
 
 
@@ -357,4 +355,4 @@ def scored_text_files(spark, sf):
         "content",
     )
     labels = t.labels.select("label_idx", F.col("label_idx").alias("topic_id"))
-    return sc.score(files, t.model, t.vocab, labels, t.info, t.coef).drop("probability")
+    return sc.score(files, t.model, t.vocab, labels, t.info).drop("probability")

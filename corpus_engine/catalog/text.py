@@ -11,8 +11,10 @@ from corpus_engine.catalog.base import (
     STOP_SQL,
     articles,
     normalize_sql,
+    prepare,
     prepared,
     register,
+    stored,
     table,
     tfidf_sql,
     vocab_sql,
@@ -35,10 +37,16 @@ def vocabulary(spark, sf, **limits):
     return ft.fit_vocabulary(prepared(spark, sf).select("id", "text_clean"), **limits)
 
 
+def stored_vocab(spark, sf, **limits):
+    """The fitted vocabulary as a stored table, as scoring and training use it."""
+    name = "-".join(["vocab", *(f"{k}{v}" for k, v in sorted(limits.items()))])
+    return stored(spark, sf, name, lambda: vocabulary(spark, sf, **limits))
+
+
 def weights(spark, sf, **limits):
     """Documents, vocabulary and TF-IDF rows of the prepared corpus."""
     docs = prepared(spark, sf).select("id", "text_clean")
-    vocab = ft.fit_vocabulary(docs, **limits)
+    vocab = stored_vocab(spark, sf, **limits)
     return docs, vocab, ft.tfidf(docs, vocab)
 
 
@@ -64,7 +72,7 @@ def cleaned_text(spark, sf):
 
 @register("F3", with_sql(PREPARED, "SELECT id, title, publication, text_clean FROM prepared"))
 def prepared_corpus(spark, sf):
-    return prepared(spark, sf).select("id", "title", "publication", "text_clean")
+    return prepare(spark, sf).select("id", "title", "publication", "text_clean")
 
 
 _TRACE = f""", s1 AS (SELECT id, lower(content) AS lowercased FROM articles),
@@ -252,7 +260,7 @@ nf AS (SELECT id, term_id, term, tf, w / sqrt(sum(w * w) OVER (PARTITION BY id))
 def new_documents_profile(spark, sf):
     """Known terms and total weight of every new document, documents without any included."""
     new = _new_documents(spark, sf)
-    found = ft.transform_tfidf(new, vocabulary(spark, sf)).groupBy("id").agg(
+    found = ft.transform_tfidf(new, stored_vocab(spark, sf)).groupBy("id").agg(
         F.count(F.lit(1)).alias("terms"), F.sum("tfidf").alias("total")
     )
     return new.select("id").join(found, "id", "left").select(
@@ -264,7 +272,7 @@ def new_documents_profile(spark, sf):
 
 @register("F9", with_sql(vocab_sql() + _NEW, "SELECT id, term_id, term, tf, round(tfidf, 6) AS tfidf FROM nf"))
 def new_documents_weights(spark, sf):
-    return _rounded(ft.transform_tfidf(_new_documents(spark, sf), vocabulary(spark, sf)))
+    return _rounded(ft.transform_tfidf(_new_documents(spark, sf), stored_vocab(spark, sf)))
 
 
 _PROFILE = """, c AS (SELECT (SELECT n FROM size) AS rows, (SELECT count(*) FROM vocab) AS features,

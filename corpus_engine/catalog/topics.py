@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from corpus_engine.catalog.base import (
     PREPARED,
-    cleaned,
     prepared,
     register,
     table,
@@ -141,11 +140,11 @@ def document_vectors(spark, sf):
 # --- topic dimension ---------------------------------------------------------------------------
 
 
-def topical(spark, sf, source=prepared):
+def topical(spark, sf):
     """Articles with ``topic_id``."""
     known = table(spark, sf, "labels").select(F.col("doc_id").alias("id"), F.lit(True).alias("_known"))
     number = F.array_position(F.array(*[F.lit(k) for k in LANGS]), F.col("lang")) - 1
-    rows = source(spark, sf).join(known, "id", "left")
+    rows = prepared(spark, sf).join(known, "id", "left")
     return rows.withColumn(
         "topic_id", F.when(F.col("_known"), number).otherwise(-1).cast("int")
     ).drop("_known")
@@ -200,7 +199,7 @@ def stored_topic_dimension(spark, sf):
     ),
 )
 def topics_by_size(spark, sf):
-    return tp.renumber_topics(topical(spark, sf, cleaned).select("id", "topic_id"))
+    return tp.renumber_topics(topical(spark, sf).select("id", "topic_id"))
 
 
 @register(
@@ -243,7 +242,7 @@ def topic_listing(spark, sf):
     ),
 )
 def labelling_status(spark, sf):
-    return tp.label_status(topical(spark, sf, cleaned))
+    return tp.label_status(topical(spark, sf))
 
 
 @register("H11", with_sql(INFO, "SELECT topic, name FROM info WHERE lower(name) LIKE '%und%' OR lower(name) LIKE '%les%'"))
@@ -280,4 +279,4 @@ def biggest_topics(spark, sf):
     ),
 )
 def topic_balance(spark, sf):
-    return pf.class_balance(tp.drop_outliers(topical(spark, sf, cleaned)), "topic_id")
+    return pf.class_balance(tp.drop_outliers(topical(spark, sf)), "topic_id")

@@ -85,6 +85,29 @@ def fit_vocabulary(
     return indexed.select("term_id", "term", "df", "corpus_tf", idf.alias("idf"))
 
 
+def _weighted(
+    df: DataFrame,
+    vocab: DataFrame,
+    ngram_range: tuple[int, int],
+    sublinear: bool,
+    text: str,
+    key: str,
+    max_features: int | None,
+) -> DataFrame:
+    """``(key, term_id, term, tf, _w)`` before the lengths are made equal, partitioned by ``key``.
+
+    The compact text is partitioned by document once, before it is exploded; the vocabulary comes
+    to the rows. ``max_features`` is the row bound of ``vocab``: up to ``BROADCAST_ROWS`` it is
+    broadcast, above that, or without a bound, Spark picks the join by size.
+    """
+    known = vocab.select("term_id", "term", "idf")
+    if max_features is not None and max_features <= BROADCAST_ROWS:
+        known = F.broadcast(known)
+    rows = term_rows(df.select(key, text).repartition(key), text, ngram_range, key).join(known, "term")
+    tf = F.lit(1) + F.ln("tf") if sublinear else F.col("tf")
+    return rows.select(key, "term_id", "term", "tf", (tf * F.col("idf")).alias("_w"))
+
+
 def tfidf(
     df: DataFrame,
     vocab: DataFrame,
@@ -96,19 +119,10 @@ def tfidf(
 ) -> DataFrame:
     """``(key, term_id, term, tf, tfidf)`` with the given vocabulary, unit length per document.
 
-    The compact text is partitioned by document once, before it is exploded. Everything after that
-    (vocabulary lookup, length, and the per-document operators on the result) stays in place.
-    Terms outside the vocabulary are ignored; a document without any known term has no rows.
-
-    ``max_features`` is the row bound of ``vocab``: up to ``BROADCAST_ROWS`` it is broadcast,
-    above that Spark picks the join by size.
+    Terms outside the vocabulary are ignored; a document without any known term has no rows. The
+    rows stay partitioned by document, so per-document operators on them need no shuffle.
     """
-    known = vocab.select("term_id", "term", "idf")
-    if max_features is not None and max_features <= BROADCAST_ROWS:
-        known = F.broadcast(known)
-    rows = term_rows(df.select(key, text).repartition(key), text, ngram_range, key).join(known, "term")
-    tf = F.lit(1) + F.ln("tf") if sublinear else F.col("tf")
-    weighted = rows.withColumn("_w", tf * F.col("idf"))
+    weighted = _weighted(df, vocab, ngram_range, sublinear, text, key, max_features)
     length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
     return weighted.select(key, "term_id", "term", "tf", (F.col("_w") / length).alias("tfidf"))
 
@@ -126,6 +140,47 @@ def transform_tfidf(
     return tfidf(df, vocab, ngram_range, sublinear, text, key, max_features)
 
 
+NO_ENTRIES = "array<struct<term_id:int,term:string,tfidf:double>>"
+
+
+def document_entries(
+    df: DataFrame,
+    vocab: DataFrame,
+    ngram_range: tuple[int, int] = (1, 2),
+    sublinear: bool = True,
+    text: str = "text_clean",
+    key: str = "id",
+    max_features: int | None = 50_000,
+) -> DataFrame:
+    """``(key, entries)``: the TF-IDF row of each document as one array of ``(term_id, term, tfidf)``.
+
+    Every document has a row, with an empty array where it has no known term. The array holds the
+    distinct terms of one document and is built where the document already is.
+    """
+    grouped = _weighted(df, vocab, ngram_range, sublinear, text, key, max_features).groupBy(key).agg(
+        F.sort_array(F.collect_list(F.struct("term_id", "term", "_w"))).alias("_e"),
+        F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_length"),
+    )
+    entries = F.transform(
+        "_e",
+        lambda e: F.struct(
+            e["term_id"].alias("term_id"), e["term"].alias("term"), (e["_w"] / F.col("_length")).alias("tfidf")
+        ),
+    )
+    found = grouped.select(key, entries.alias("entries"))
+    return df.select(key).join(found, key, "left").select(
+        key, F.coalesce("entries", F.array().cast(NO_ENTRIES)).alias("entries")
+    )
+
+
+def entry_structs(entries: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Add ``features``, the sparse storage form of ``entries``."""
+    size = vocab.agg(F.count(F.lit(1))).scalar()
+    return entries.withColumn(
+        "features", sparse_struct(size, F.col("entries.term_id"), F.col("entries.tfidf"))
+    )
+
+
 def feature_structs(
     features: DataFrame, documents: DataFrame, vocab: DataFrame, key: str = "id"
 ) -> DataFrame:

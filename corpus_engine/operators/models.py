@@ -158,6 +158,12 @@ def coef_table(spark: SparkSession, model: LogisticRegressionModel, vocab: DataF
     return weights.join(vocab.select("term_id", "term"), "term_id").select("term_id", "term", "weights")
 
 
+def class_weight_rows(spark: SparkSession, model: LogisticRegressionModel) -> DataFrame:
+    """Coefficients as one row per class: ``(prediction, weights)``, ``weights[term_id]``."""
+    rows = [(k, [float(x) for x in row]) for k, row in enumerate(model.coefficientMatrix.toArray())]
+    return spark.createDataFrame(rows, "prediction int, weights array<double>")
+
+
 def coef_long(coef: DataFrame) -> DataFrame:
     """``(label_idx, term_id, term, weight)``."""
     return coef.select("term_id", "term", F.posexplode("weights").alias("label_idx", "weight")).select(

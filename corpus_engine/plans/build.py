@@ -72,9 +72,13 @@ def build_features(
     fitted = docs if fit_on is None else docs.join(fit_on.select("id"), "id", "left_semi")
     tb.write_vocab(ft.fit_vocabulary(fitted, min_df, max_df, max_features), store.path("vocab"))
     vocab = tb.read_vocab(spark, store.path("vocab"))
-    store.write(ft.tfidf(docs, vocab, max_features=max_features), "feature_rows")
-    rows = store.read(spark, "feature_rows")
-    tb.write_features(ft.feature_structs(rows, docs, vocab), store.path("features"))
+    entries = ft.entry_structs(ft.document_entries(docs, vocab, max_features=max_features), vocab)
+    store.write(entries, "features")
+
+
+def feature_rows(spark: SparkSession, store: Store) -> DataFrame:
+    """The stored features in long form ``(id, term_id, term, tfidf)``."""
+    return store.read(spark, "features").select("id", F.inline("entries"))
 
 
 def discover_topics(
@@ -94,7 +98,7 @@ def discover_topics(
     """
     articles = store.read(spark, "articles_clean")
     if embeddings is None:
-        embeddings = tp.embed_documents(store.read(spark, "feature_rows"))
+        embeddings = tp.embed_documents(feature_rows(spark, store))
     store.write(embeddings, "embeddings")
     vectors = store.read(spark, "embeddings")
     ids = sp.stratified_sample(articles.select("id", "publication"), "publication", sample_size, seed)
@@ -179,7 +183,7 @@ def evaluate_models(spark: SparkSession, store: Store, words: int = 15) -> dict[
     coef = store.read(spark, "coef")
     _, labels = md.load_model(spark, store.path("classifier"))
     info = store.read(spark, "topic_info_table")
-    rows, split = store.read(spark, "feature_rows"), store.read(spark, "split")
+    rows, split = feature_rows(spark, store), store.read(spark, "split")
     importance = ex.topic_word_importance(coef, words).join(labels, "label_idx").select(
         "topic_id", "rank", "word", "importance"
     )
@@ -207,7 +211,6 @@ def score_articles(spark: SparkSession, store: Store, articles: DataFrame) -> Da
         tb.read_vocab(spark, store.path("vocab")),
         labels,
         store.read(spark, "topic_info_table"),
-        store.read(spark, "coef"),
     )
 
 
