@@ -19,7 +19,7 @@ from corpus_engine.operators import models as md
 from corpus_engine.operators import sampling as sp
 from corpus_engine.operators import scoring as sc
 from corpus_engine.operators import topics as tp
-from corpus_engine.session import scratch_path
+from corpus_engine.session import scratch_path, settled
 from corpus_engine.sources import articles as src
 from corpus_engine.sources import tables as tb
 
@@ -245,9 +245,12 @@ def classifier(spark, sf):
     if not hasattr(t, "model"):
         t.model = md.train_logistic(t.train, C=5.0, max_iter=100)
         t.coef = md.coef_table(spark, t.model, t.vocab)
-        t.info = tp.topic_info(
-            t.split.withColumnRenamed("label_idx", "topic_id"),
-            tp.class_tfidf(t.docs.join(t.labels, "lang"), "label_idx", 10).withColumnRenamed("label_idx", "topic_id"),
+        t.info = settled(
+            tp.topic_info(
+                t.split.withColumnRenamed("label_idx", "topic_id"),
+                tp.class_tfidf(t.docs.join(t.labels, "lang"), "label_idx", 10).withColumnRenamed("label_idx", "topic_id"),
+            ),
+            "topic-info",
         )
     return t
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpus_engine.functions import text as tx
 from corpus_engine.functions.stopwords import ENGLISH
+from corpus_engine.session import settled
 
 
 def drop_missing(df: DataFrame, columns: Sequence[str] = ("content", "title")) -> DataFrame:
@@ -16,26 +17,43 @@ def drop_missing(df: DataFrame, columns: Sequence[str] = ("content", "title")) -
     return df.na.drop(subset=list(columns))
 
 
+# Digests of repeated texts that are sent to every executor: at most this many, some 100 MB.
+BROADCAST_DIGESTS = 1_000_000
+
+
 def dedup_keep_first(
     df: DataFrame, key: str = "content", order: Sequence[str] = ("file_rank", "id")
 ) -> DataFrame:
-    """One row per distinct ``key``: the first in ``order`` (then by the whole row).
-
-    Only a digest of the key is shuffled to find the repeated texts. Texts that occur once, nearly
-    all of them, pass through an anti-join whose other side is that list of repeats. The repeats
-    themselves are reduced by an aggregate with map-side combine, so a text copied a billion times
-    never meets in one task. Null keys count as equal, as in a data frame's duplicate drop.
+    """One row per distinct ``key``: the first in ``order`` (then by a hash of the whole row).
+
+    First pass: digest and order columns only, reduced per digest with map-side combine, so a text
+    copied a billion times never meets in one task. The digests that occur more than once, with
+    their first row's rank, are written down. Second pass: texts that occur once, nearly all, pass
+    by an anti-join with that list, first rows by a join on digest and rank. While the list is
+    small both joins are broadcast and the texts are not shuffled; beyond that they are shuffled by
+    digest, and for the first rows by digest and rank, which spreads the copies of one text.
+    Null keys count as equal, as in a data frame's duplicate drop.
     """
-    keyed = df.withColumn("_digest", F.coalesce(F.sha2(F.col(key), 256), F.lit("")))
-    repeated = keyed.groupBy("_digest").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    repeated = repeated.select("_digest")
-    once = keyed.join(repeated, "_digest", "left_anti").select(df.columns)
-    rank = F.struct(*order, F.xxhash64(*[F.col(c) for c in df.columns]))
+    keyed = df.withColumns(
+        {
+            "_digest": F.coalesce(F.sha2(F.col(key), 256), F.lit("")),
+            "_rank": F.struct(*order, F.xxhash64(*[F.col(c) for c in df.columns]).alias("_row")),
+        }
+    )
+    repeated = settled(
+        keyed.groupBy("_digest")
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_rank").alias("_rank"))
+        .filter("_n > 1")
+        .select("_digest", "_rank"),
+        "repeated",
+        BROADCAST_DIGESTS,
+    )
+    once = keyed.join(repeated.select("_digest"), "_digest", "left_anti").select(df.columns)
+    # rows that agree in every column have the same rank: one of them stays
     first = (
-        keyed.join(repeated, "_digest", "left_semi")
-        .groupBy("_digest")
-        .agg(F.min_by(F.struct(*df.columns), rank).alias("_row"))
-        .select("_row.*")
+        keyed.join(repeated, ["_digest", "_rank"], "left_semi")
+        .dropDuplicates(["_digest"])
+        .select(df.columns)
     )
     return once.unionByName(first)
 

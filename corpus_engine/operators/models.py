@@ -16,12 +16,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpus_engine.session import settled
+
 
 def label_table(df: DataFrame, label: str) -> DataFrame:
     """``(label_idx, label)``: sorted distinct labels numbered from 0. One row per class."""
     distinct = df.filter(F.col(label).isNotNull()).select(label).distinct()
     index = F.dense_rank().over(Window.orderBy(label)) - 1
-    return distinct.select(index.cast("int").alias("label_idx"), label)
+    return settled(distinct.select(index.cast("int").alias("label_idx"), label), "labels")
 
 
 def encode_labels(df: DataFrame, labels: DataFrame, label: str) -> DataFrame:

@@ -12,29 +12,39 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpus_engine.functions.hashing import key_bucket, random_key
+from corpus_engine.session import settled
+
+# Strata up to which the quota and threshold tables (one row each) are sent to every executor.
+BROADCAST_STRATA = 1_000_000
 
 
 def key_thresholds(keyed: DataFrame, stratum: str, quotas: DataFrame, key: str = "_key") -> DataFrame:
     """``(stratum, _threshold)``: the key of the ``quota``-th row per stratum in key order.
 
     ``quotas`` has ``(stratum, quota)``; strata with quota 0 get no row. Keys must be distinct.
+    The two tables of one row per stratum are written down, so the joins of all rows with them are
+    broadcast up to ``BROADCAST_STRATA``.
     """
     sliced = keyed.select(stratum, key, key_bucket(F.col(key)).alias("_slice"))
     sizes = sliced.groupBy(stratum, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     # one row per key slice: at most 65,536 per stratum
     earlier = Window.partitionBy(stratum).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    located = (
+    located = settled(
         sizes.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .join(quotas.select(stratum, "quota"), stratum)
         .filter((F.col("_before") < F.col("quota")) & (F.col("_before") + F.col("_n") >= F.col("quota")))
-        .select(stratum, "_slice", (F.col("quota") - F.col("_before")).alias("_need"))
+        .select(stratum, "_slice", (F.col("quota") - F.col("_before")).alias("_need")),
+        "located",
+        BROADCAST_STRATA,
     )
     in_slice = Window.partitionBy(stratum, "_slice").orderBy(key)
-    return (
+    return settled(
         sliced.join(located, [stratum, "_slice"])
         .withColumn("_at", F.row_number().over(in_slice))
         .filter(F.col("_at") == F.col("_need"))
-        .select(stratum, F.col(key).alias("_threshold"))
+        .select(stratum, F.col(key).alias("_threshold")),
+        "thresholds",
+        BROADCAST_STRATA,
     )
 
 
@@ -68,7 +78,7 @@ def stratified_sample(
     remaining rows, which is also the only way in for rows without a stratum.
     """
     keyed = df.withColumn("_key", random_key(seed, key))
-    counts = keyed.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
+    counts = settled(keyed.groupBy(by).agg(F.count(F.lit(1)).alias("n")), "strata", BROADCAST_STRATA)
     total = counts.agg(F.sum("n")).scalar()
     quotas = counts.filter(F.col(by).isNotNull()).select(
         by, F.least("n", F.floor(F.lit(size) * F.col("n") / total)).cast("bigint").alias("quota")
@@ -91,7 +101,9 @@ def split_quotas(df: DataFrame, label: str, test_size: float = 0.2) -> DataFrame
     ``ceil(test_size * N)`` rows go to the test side. Training rows are shared out in proportion,
     rounding by largest remainder (ties by label); the test side gets the rest of each class.
     """
-    counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    counts = settled(
+        df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")), "classes"
+    )
     total = counts.agg(F.sum("n")).scalar()
     train_total = total - F.ceil(F.lit(test_size) * total)
     shares = (

@@ -18,6 +18,7 @@ from corpus_engine.functions.vectors import (
     to_vector,
 )
 from corpus_engine.operators.topk import top_n_per_group, with_share
+from corpus_engine.session import settled
 
 OUTLIER = -1
 
@@ -182,7 +183,7 @@ def renumber_topics(df: DataFrame, topic: str = "topic_id", key: str = "id") ->
     sizes = df.filter(F.col(topic) != OUTLIER).groupBy(topic).agg(F.count(F.lit(1)).alias("_n"))
     # one row per topic
     rank = F.row_number().over(Window.orderBy(F.desc("_n"), topic)) - 1
-    numbers = sizes.select(topic, rank.cast("int").alias("_new"))
+    numbers = settled(sizes.select(topic, rank.cast("int").alias("_new")), "numbers")
     return df.join(numbers, topic, "left").withColumn(
         topic, F.coalesce("_new", F.lit(OUTLIER))
     ).select(df.columns)

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "corpus_engine", master: str | None = None, **conf: str) -> SparkSession:
@@ -44,6 +45,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def settled(df: DataFrame, name: str, broadcast_rows: int = 0) -> DataFrame:
+    """Write a small derived table to the shared folder now, and go on from the written copy.
+
+    Spark only knows the size of a derived table after the plan is fixed, and by then has shuffled
+    the big side of a join with it. A written table has a known size: below Spark's own threshold
+    it is broadcast by itself, and up to ``broadcast_rows`` rows (counted) it is marked for it.
+    Beyond that the join is a shuffle join. The copy also ends the lineage and is computed once.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    copy = df.sparkSession.read.parquet(path)
+    if broadcast_rows and copy.count() <= broadcast_rows:
+        return F.broadcast(copy)
+    return copy
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-partition a *scan* on ``key`` when it has fewer splits than the cluster has cores.
 

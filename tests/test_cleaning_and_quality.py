@@ -58,11 +58,21 @@ def test_dedup_keeps_first_in_file_order_and_whole_copies_once(spark):
     assert got == [(2, "same", "copy"), (3, "n", ""), (5, "b", "x"), (7, "q", "y")]
 
 
-def test_dedup_agrees_with_brute_force_under_one_dominating_text(spark):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_dedup_agrees_with_brute_force_under_one_dominating_text(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(cl, "BROADCAST_DIGESTS", 0)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     df = spark.range(3000).select(
         "id", F.lit(0).alias("file_rank"), F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 700).cast("string")).alias("content")
     )
-    got = {(r.id, r.content) for r in cl.dedup_keep_first(df.repartition(6)).collect()}
+    try:
+        result = cl.dedup_keep_first(df.repartition(6))
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        got = {(r.id, r.content) for r in result.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ("SortMergeJoin" in plan) != broadcast
     want = {}
     for i in range(3000):
         want.setdefault("hot" if i % 3 == 0 else str(i % 700), i)

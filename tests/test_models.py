@@ -95,7 +95,7 @@ def test_trees_and_sweep(separable):
 
 def test_model_round_trip(spark, separable, linear):
     path = scratch_path(spark, "m")
-    labels = md.label_table(separable, "label_idx").toDF("label_idx", "topic_id")
+    labels = md.label_table(separable.select(F.col("label_idx").alias("topic_id")), "topic_id")
     md.save_model(linear, labels, path)
     model, stored = md.load_model(spark, path)
     assert np.array_equal(model.coefficientMatrix.toArray(), linear.coefficientMatrix.toArray())

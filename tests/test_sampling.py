@@ -62,13 +62,28 @@ def test_split_sizes_are_exact_and_classes_keep_their_share(spark, skewed):
     assert background.count() == 50 and background.join(split.filter("is_test"), "id").count() == 0
 
 
-def test_no_task_ranks_a_whole_stratum(skewed):
-    """Ranking happens inside a key slice, never over a stratum."""
+def test_no_task_ranks_a_whole_stratum(skewed, monkeypatch):
+    """Ranking happens inside a key slice, never over a stratum; all rows meet small tables only."""
+    final = sp.stratified_split(skewed, "label")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in final and "BroadcastHashJoin" in final and "SortMergeJoin" not in final
+    monkeypatch.setattr(sp, "settled", lambda df, name, rows=0: df)
     plan = sp.stratified_split(skewed, "label")._jdf.queryExecution().optimizedPlan().toString()
     ranked = [line for line in plan.split("\n") if "row_number()" in line and "label" in line]
     assert ranked and all("_slice" in line or "_rest" in line for line in ranked)
 
 
+def test_split_is_the_same_without_broadcasts(spark, skewed, monkeypatch):
+    known = skewed.filter("label IS NOT NULL")
+    usual = sp.stratified_split(known, "label").collect()
+    monkeypatch.setattr(sp, "BROADCAST_STRATA", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = sp.stratified_split(known, "label").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(map(tuple, shuffled)) == sorted(map(tuple, usual))
+
+
 def test_shuffle_keeps_all_rows(skewed):
     ids = [r.id for r in sp.shuffle(skewed).collect()]
     assert sorted(ids) == list(range(2000)) and ids == sorted(range(2000), key=lambda i: key(42, i))
