@@ -48,6 +48,52 @@ def term_rows(
     return sorted_grams.withColumn("_starts", starts).select(key, F.inline(runs))
 
 
+def term_occurrences(
+    df: DataFrame, text: str = "text_clean", ngram_range: tuple[int, int] = (1, 2), key: str = "id"
+) -> DataFrame:
+    """``(key, term)`` for every occurrence of every n-gram.
+
+    Each word is laid next to its successors and the n-grams are put together from these columns,
+    so apart from the split everything runs inside generated code.
+    """
+    low, high = ngram_range
+    words = df.select(
+        key, F.filter(F.split(text, " "), lambda w: F.length(w) > 1).alias("_words")
+    )
+    shifted = [F.slice("_words", F.lit(n), F.size("_words")) for n in range(2, high + 1)]
+    names = [f"_w{n}" for n in range(1, high + 1)]
+    rows = words.select(key, F.inline(F.arrays_zip("_words", *shifted))).toDF(key, *names)
+    # past the end of the text a successor is null, and so is the n-gram
+    grams = [names[0]] + [
+        F.concat(*[p for name in names[:n] for p in (F.lit(" "), F.col(name))][1:])
+        for n in range(2, high + 1)
+    ]
+    return rows.select(key, F.explode(F.array(*grams[low - 1 :])).alias("term")).filter(
+        F.col("term").isNotNull()
+    )
+
+
+def term_totals(
+    df: DataFrame, text: str = "text_clean", ngram_range: tuple[int, int] = (1, 2), key: str = "id"
+) -> DataFrame:
+    """``(term, df, corpus_tf)`` over all documents.
+
+    The n-grams of a document are sorted inside its row, so the first of a run of equal ones marks
+    the document. Both counts then are plain sums per term with map-side combine, and the only
+    shuffle is that of per-task totals.
+    """
+    words = df.select(F.filter(F.split(text, " "), lambda w: F.length(w) > 1).alias("_words"))
+    grams = words.select(F.sort_array(ngrams(F.col("_words"), *ngram_range)).alias("_grams"))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.col("_grams"))
+    rows = grams.select(F.inline(F.arrays_zip("_grams", before))).toDF("term", "_before")
+    starts = (~F.col("term").eqNullSafe(F.col("_before"))).cast("bigint")
+    return (
+        rows.filter(F.col("term").isNotNull())
+        .groupBy("term")
+        .agg(F.sum(starts).alias("df"), F.count(F.lit(1)).alias("corpus_tf"))
+    )
+
+
 def _limit(bound: float, documents: Column) -> Column:
     """An int is a number of documents, a float a share of them."""
     return F.lit(bound) if isinstance(bound, int) else F.lit(bound) * documents
@@ -68,11 +114,8 @@ def fit_vocabulary(
     ``max_features`` with the highest corpus count stay. One shuffle, of per-task term totals.
     """
     documents = df.agg(F.count(F.lit(1))).scalar()
-    terms = (
-        term_rows(df, text, ngram_range, key)
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("corpus_tf"))
-        .filter((F.col("df") >= _limit(min_df, documents)) & (F.col("df") <= _limit(max_df, documents)))
+    terms = term_totals(df, text, ngram_range, key).filter(
+        (F.col("df") >= _limit(min_df, documents)) & (F.col("df") <= _limit(max_df, documents))
     )
     if max_features is not None:
         terms = take_largest(terms, "corpus_tf", max_features, "term")
@@ -96,16 +139,25 @@ def _weighted(
 ) -> DataFrame:
     """``(key, term_id, term, tf, _w)`` before the lengths are made equal, partitioned by ``key``.
 
-    The compact text is partitioned by document once, before it is exploded; the vocabulary comes
-    to the rows. ``max_features`` is the row bound of ``vocab``: up to ``BROADCAST_ROWS`` it is
-    broadcast, above that, or without a bound, Spark picks the join by size.
+    The compact text is partitioned by document once, before it is exploded. The vocabulary comes
+    to the occurrences and drops the unknown ones before they are counted; counting runs on
+    ``(key, term_id)`` numbers in place. ``max_features`` is the row bound of ``vocab``: up to
+    ``BROADCAST_ROWS`` it is broadcast, above that, or without a bound, Spark picks the join by
+    size.
     """
-    known = vocab.select("term_id", "term", "idf")
+    known, details = vocab.select("term_id", "term"), vocab.select("term_id", "term", "idf")
     if max_features is not None and max_features <= BROADCAST_ROWS:
-        known = F.broadcast(known)
-    rows = term_rows(df.select(key, text).repartition(key), text, ngram_range, key).join(known, "term")
+        known, details = F.broadcast(known), F.broadcast(details)
+    counts = (
+        term_occurrences(df.select(key, text).repartition(key), text, ngram_range, key)
+        .join(known, "term")
+        .groupBy(key, "term_id")
+        .agg(F.count(F.lit(1)).cast("int").alias("tf"))
+    )
     tf = F.lit(1) + F.ln("tf") if sublinear else F.col("tf")
-    return rows.select(key, "term_id", "term", "tf", (tf * F.col("idf")).alias("_w"))
+    return counts.join(details, "term_id").select(
+        key, "term_id", "term", "tf", (tf * F.col("idf")).alias("_w")
+    )
 
 
 def tfidf(

@@ -142,3 +142,21 @@ def test_no_token_shuffle_for_the_vocabulary(spark):
     df = docs(spark)
     plan = ft.term_rows(df)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "PythonUDF" not in plan
+    totals = ft.term_totals(df)._jdf.queryExecution().executedPlan().toString()
+    assert totals.count("Exchange") == 1 and "Exchange hashpartitioning(term" in totals and "PythonUDF" not in totals
+    weights = ft.tfidf(df, ft.fit_vocabulary(df, 1, 1.0, 100))._jdf.queryExecution().sparkPlan().toString()
+    assert "PythonUDF" not in weights
+
+
+@pytest.mark.parametrize("span", [(1, 1), (1, 2), (2, 2), (1, 3), (2, 3)])
+def test_occurrences_and_totals_match_plain_counting(spark, span):
+    texts = CORPUS + ["bb", "bb cc", "bb cc bb cc bb"]
+    df = docs(spark, texts)
+    want = Counter((i, g) for i, t in enumerate(texts) for g in grams(t, *span))
+    got = Counter((r.id, r.term) for r in ft.term_occurrences(df, ngram_range=span).collect())
+    assert got == want
+    rows = {(r.id, r.term): r.tf for r in ft.term_rows(df, ngram_range=span).collect()}
+    assert rows == dict(want)
+    totals = {r.term: (r.df, r.corpus_tf) for r in ft.term_totals(df, ngram_range=span).collect()}
+    by_term = Counter(g for _, g in want)
+    assert totals == {g: (n, sum(c for (_, t), c in want.items() if t == g)) for g, n in by_term.items()}
