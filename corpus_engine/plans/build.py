@@ -138,7 +138,7 @@ def train_models(
     max_iter: int = 1000,
     boosted_rounds: int = 10,
     test_size: float = 0.2,
-    experiment: str = "news-topic-classification",
+    experiment: str = "topic-classification",
 ) -> DataFrame:
     """Split, train both classifiers, log them, keep the linear one; returns the comparison."""
     labelled = store.read(spark, "articles_with_topics").select("id", "topic_id")

@@ -177,7 +177,7 @@ def test_jobs_from_csv_to_scores(spark, tmp_path):
     assert tables["report"].count() == len(info) + 3
     assert tables["importance"].filter("rank = 1").count() == len(info)
     assert tables["attributions"].count() > 0
-    runs = tb.list_runs(spark, store.path("runs"), "news-topic-classification")
+    runs = tb.list_runs(spark, store.path("runs"), "topic-classification")
     assert {r.model for r in runs.collect()} == set(comparison)
     new = spark.createDataFrame(
         [(1, None, "The president signed the new tax reform bill into law today after a vote of the senate."),
