@@ -8,8 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpus_engine.operators.features import BROADCAST_ROWS
 from corpus_engine.operators.models import coef_long
 from corpus_engine.operators.topk import signed_extremes, top_n_per_group
+from corpus_engine.session import settled
 
 # Largest coefficient table (terms x classes) that is sent to every executor: 32 M doubles, 256 MB.
 BROADCAST_CELLS = 32_000_000
@@ -102,7 +104,8 @@ def linear_attribution(
 
     The exact additive attribution of a linear model, for all documents at once.
     """
-    means = background_mean(features, background, key)
+    # one row per term that the background uses; the feature rows stay where they are
+    means = settled(background_mean(features, background, key), "background", BROADCAST_ROWS)
     return (
         contributions(features, coef, preds, cells, key)
         .join(means, "term_id", "left")

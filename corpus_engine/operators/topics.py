@@ -91,7 +91,9 @@ def kmeans_topics(
         .join(F.broadcast(centres), "_c")
         .select(key, "_c", cosine_distance(F.col(column), F.col("_centre")).alias("_d"))
     )
-    radii = placed.groupBy("_c").agg(F.percentile_approx("_d", noise_quantile, 10_000).alias("_r"))
+    radii = settled(
+        placed.groupBy("_c").agg(F.percentile_approx("_d", noise_quantile, 10_000).alias("_r")), "radii"
+    )
     return placed.join(radii, "_c").select(
         key, F.when(F.col("_d") <= F.col("_r"), F.col("_c")).otherwise(OUTLIER).alias("topic_id")
     )
