@@ -37,7 +37,9 @@ def dedup_keep_first(
     keyed = df.withColumns(
         {
             "_digest": F.coalesce(F.sha2(F.col(key), 256), F.lit("")),
-            "_rank": F.struct(*order, F.xxhash64(*[F.col(c) for c in df.columns]).alias("_row")),
+            "_rank": F.struct(
+                *order, F.xxhash64(*[F.col(c) for c in df.columns if c != key]).alias("_row")
+            ),
         }
     )
     repeated = settled(
