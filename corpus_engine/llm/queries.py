@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpus_engine.llm import simhash
+from corpus_engine.llm import langid, quality, simhash
 from corpus_engine.llm.base import REGISTRY, Entry, register, table
 
 
@@ -21,3 +21,26 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@register()
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from those whose hashed id is not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~_held_out()))
+    return _held(langid.identify(docs, model))
+
+
+def _held_out():
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
+def _held(found: DataFrame) -> DataFrame:
+    return found.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
+
+
+@register()
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document, with a model trained on the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
