@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpus_engine.llm import langid, quality, simhash
+from corpus_engine.llm import langid, packing, quality, simhash
 from corpus_engine.llm.base import REGISTRY, Entry, register, table
 
 
@@ -44,3 +44,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document, with a model trained on the labelled ones."""
     docs = table(spark, sf_dir, "documents")
     return quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@register()
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of up to 4096 ids."""
+    cut = packing.pieces(table(spark, sf_dir, "documents"))
+    cut = cut.select("row", "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(cut).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
