@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpus_engine.llm import langid, packing, quality, simhash
+from corpus_engine.llm import langid, licenses, packing, pii, quality, simhash
 from corpus_engine.llm.base import REGISTRY, Entry, register, table
 
 
@@ -54,3 +54,36 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
+
+
+def _joined(spans):
+    """kind:start:end by start and then kind, comma-joined."""
+    rank = F.array(*(F.lit(k) for k in pii.KINDS))
+    keyed = F.transform(
+        spans,
+        lambda s: F.struct(
+            s["start"], F.array_position(rank, s["kind"]), s["end"],
+            F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")).alias("written"),
+        ),
+    )
+    return F.array_join(F.transform(F.array_sort(keyed), lambda s: s["written"]), ",")
+
+
+@register()
+def op9_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: plain patterns and what their contexts discover."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [
+        (F.size("base") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.KINDS[:4]
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        _joined(F.concat("base", "added")).alias("spans"),
+    )
+
+
+@register()
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses named in all documents."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
