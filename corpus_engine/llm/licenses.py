@@ -28,7 +28,7 @@ BASE = {
 NAMES = r"""
 mit                 mit         (?:mit|expat|x11) licen[sc]e
 mit-0               mit 0       mit 0 licen[sc]e
-mit-0               mit no      mit no attribution(?: licen[sc]e)?
+mit-0               no attribution      mit no attribution(?: licen[sc]e)?
 apache-1.1          apache      apache (?:software )?licen[sc]e (?:v|v ?|version )?1 1
 apache-2            apache      apache (?:software )?licen[sc]e (?:v|version )?2(?: 0)?
 apache-2            apache      apache 2(?: 0)?(?: licen[sc]e)?

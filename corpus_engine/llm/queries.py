@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpus_engine.llm import langid, licenses, packing, pii, quality, simhash
+from corpus_engine.llm import langid, licenses, packing, pages, pii, quality, simhash
 from corpus_engine.llm.base import REGISTRY, Entry, register, table
 
 
@@ -87,3 +87,10 @@ def op9_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licenses named in all documents."""
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@register()
+def op3_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    found = pages.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
