@@ -14,13 +14,13 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpus_engine.llm.base import slices
 from corpus_engine.llm.linear import calibration, margins, svm
 from corpus_engine.llm.ngrams import Grams
-from corpus_engine.session import settled
+from corpus_engine.llm.sample import per_class
 
 PER_LANGUAGE = 800
 UNKNOWN = "und"
@@ -102,9 +102,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     usable = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string")).where(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}")
     )
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.select("doc_id", "lang").distinct().withColumn("at", F.row_number().over(order))
-    chosen = settled(chosen.where(F.col("at") <= per_language).select("doc_id", "lang"), "language-sample")
+    chosen = per_class(usable.select("doc_id", "lang"), "lang", per_language, "language-sample").distinct()
     languages = sorted(r[0] for r in chosen.select("lang").distinct().collect())
     machines = _machines(languages)
     sides = [(m, lang, side) for m, by in machines.items() for lang, side in by.items()]

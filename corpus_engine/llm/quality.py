@@ -8,13 +8,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpus_engine.llm.base import slices
 from corpus_engine.llm.linear import calibration, logistic, margins
 from corpus_engine.llm.ngrams import Grams
-from corpus_engine.session import settled
+from corpus_engine.llm.sample import per_class
 
 PER_CLASS = 2000
 MIN_WORDS = 50
@@ -80,17 +80,15 @@ def _fit(group: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model | None:
-    """Fit on the labelled documents: for each quality the ``per_class`` labels whose doc_id has the
+def train(docs: DataFrame, labels: DataFrame, per_class_bound: int = PER_CLASS) -> Model | None:
+    """Fit on the labelled documents: for each quality the ``per_class_bound`` labels whose doc_id has the
     smallest hash (the documented bound of the sample), in one task. Labels without a value or a
     document are left out; None if there is no sample of both classes.
     """
-    order = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
     labelled = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).where(
         F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)
     )
-    chosen = labelled.distinct().withColumn("at", F.row_number().over(order)).where(F.col("at") <= per_class)
-    chosen = settled(chosen.select("doc_id", "quality"), "quality-sample")
+    chosen = per_class(labelled.distinct(), "quality", per_class_bound, "quality-sample")
     sample = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("text is not null")
     fitted = sample.join(chosen, "doc_id").withColumn("model", F.lit(0)).groupBy("model").applyInPandas(
         _fit, "weights binary, bias double, slope double, offset double"

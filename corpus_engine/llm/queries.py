@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpus_engine.llm import langid, licenses, packing, pages, pii, quality, simhash
+from corpus_engine.llm import langid, licenses, packing, pages, pii, quality, rotated, simhash
 from corpus_engine.llm.base import REGISTRY, Entry, register, table
 
 
@@ -94,3 +94,10 @@ def op3_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
     found = pages.extract(table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@register()
+def op1_rotated_codes_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth one, by largest inner product."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return rotated.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
