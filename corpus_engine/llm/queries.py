@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpus_engine.llm import langid, licenses, packing, pages, pii, quality, rotated, simhash
+from corpus_engine.llm import langid, licenses, packing, pages, pieces, pii, quality, rotated, simhash
 from corpus_engine.llm.base import REGISTRY, Entry, register, table
 
 
@@ -101,3 +101,17 @@ def op1_rotated_codes_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every twentieth one, by largest inner product."""
     vectors = table(spark, sf_dir, "embeddings")
     return rotated.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+@register()
+def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded, and decoded again to see that every text comes back."""
+    docs = table(spark, sf_dir, "documents")
+    back = pieces.decode(pieces.encode(docs))
+    return back.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_ids"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
+    )
