@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpus_engine.llm import langid, licenses, packing, pages, pieces, pii, quality, rotated, simhash
+from corpus_engine.llm import langid, licenses, packing, pages, pieces, pii, quality, repeats, rotated, simhash
 from corpus_engine.llm.base import REGISTRY, Entry, register, table
 
 
@@ -115,3 +115,21 @@ def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
     )
+
+
+@register()
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents without the 200-byte strings that occur twice."""
+    docs = table(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    whole = docs.select(
+        "doc_id", repeats.key_of(F.col("text")).alias("key"), F.octet_length(text).cast("long").alias("n_bytes"),
+        F.sha2(text, 256).alias("whole_sha256"),
+    )
+    lost = repeats.removals(docs).select("key", "n_removed", "n_spans", F.sha2("kept", 256).alias("sha256"))
+    return whole.join(lost, "key", "left").select(
+        "doc_id", "n_bytes",
+        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
+        F.coalesce("sha256", "whole_sha256").alias("kept_sha256"),
+    )
