@@ -16,6 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from corpus_engine.llm.base import slices
 from corpus_engine.llm.linear import calibration, margins, svm
@@ -150,8 +151,8 @@ def _decide(model: Model, chance: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return answer, np.clip(score, 0.0, 1.0)
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, lang_pred, score`` of every row from its text alone.
+def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Columns ``keep`` of every row of ``docs``, with ``lang_pred, score`` from its ``text`` alone.
 
     ``und`` with score 0 for a text that is null or has no letter, and for all where the model
     knows no language. Repeated rows are judged each for itself; an empty table gives no rows.
@@ -159,8 +160,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     names = np.array([*model.languages, UNKNOWN], dtype=object)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 4_000_000):
-            texts = batch.column(1)
+        for batch in slices(batches, "judged_text", 4_000_000):
+            texts = batch.column(len(keep))
             letters = np.array([t is not None and any(map(str.isalpha, t)) for t in texts.to_pylist()], dtype=bool)
             answer, score = np.full(len(texts), len(model.languages)), np.zeros(len(texts))
             if model.languages:
@@ -168,11 +169,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 chance = 1 / (1 + np.exp(-np.clip(margin * model.slope + model.offset, -30, 30)))
                 found, sure = _decide(model, chance)
                 answer, score = np.where(letters, found, answer), np.where(letters, sure, 0.0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names[answer], pa.string()), pa.array(score)],
-                ["doc_id", "lang_pred", "score"],
-            )
+            columns = [*batch.columns[: len(keep)], pa.array(names[answer], pa.string()), pa.array(score)]
+            yield pa.RecordBatch.from_arrays(columns, [*keep, "lang_pred", "score"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, lang_pred string, score double"
-    )
+    kept = docs.select(*keep)
+    schema = StructType([*kept.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return docs.select(*keep, F.col("text").cast("string").alias("judged_text")).mapInArrow(run, schema)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -133,3 +134,9 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
         F.coalesce("sha256", "whole_sha256").alias("kept_sha256"),
     )
+
+
+@register(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents through the whole pipeline."""
+    return corpus_pipeline.run(spark, sf_dir)

@@ -102,16 +102,19 @@ def fingerprint(text: str | None, shingle: int = SHINGLE_WORDS) -> bytes:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a long) of every row. Null and wordless texts have fingerprint 0."""
+    """``doc_id, text_hash, fp`` (the 64 bits as a long) of every row. Null and wordless texts have
+    fingerprint 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            found = b"".join([fingerprint(t, shingle) for t in batch.column(1).to_pylist()])
+            found = b"".join([fingerprint(t, shingle) for t in batch.column(2).to_pylist()])
             bits = np.frombuffer(found, dtype=">i8").astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits)], ["doc_id", "fp"])
+            columns = [batch.column(0), batch.column(1), pa.array(bits)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, fp long"
+    whole = F.col(text).cast("string")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(whole).alias("text_hash"), whole.alias("text")).mapInArrow(
+        run, "doc_id long, text_hash long, fp long"
     )
 
 
@@ -267,7 +270,7 @@ def _block_runs(bits: int):
 def near_duplicates(
     docs: DataFrame, text: str = "text", bits: int = MAX_BITS, shingle: int = SHINGLE_WORDS
 ) -> DataFrame:
-    """``doc_id, fp, component_id`` of every row of ``docs``.
+    """``doc_id, text_hash, fp, component_id`` of every row of ``docs``.
 
     Rows with equal fingerprints count as linked; component_id is the smallest doc_id reachable.
     Equal fingerprints are collapsed before the search, so groups of copies cost one row. Repeated
@@ -284,4 +287,20 @@ def near_duplicates(
     rooted = settled(rooted, "simhash-roots")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = settled(rooted.join(least, "root").select("fp", "component_id"), "simhash-classes")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(classes, "fp").select("doc_id", "text_hash", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, text: str = "text", bits: int = MAX_BITS, shingle: int = SHINGLE_WORDS) -> DataFrame:
+    """``docs`` with one row of each near-duplicate class, the one with the smallest doc_id.
+
+    Of rows that repeat that doc_id, the text with the smallest hash stays, once. Classes without
+    any doc_id keep one row as well.
+    """
+    found = near_duplicates(docs, text, bits, shingle)
+    classes = found.withColumn("class", F.coalesce("component_id", "fp")).withColumn("nameless", F.isnull("component_id"))
+    first = F.min_by(F.struct("doc_id", "text_hash"), F.struct(F.isnull("doc_id"), "doc_id", "text_hash"))
+    kept = settled(classes.groupBy("nameless", "class").agg(first.alias("kept")).select("kept.*"), "simhash-kept")
+    kept = kept.withColumnsRenamed({"doc_id": "kept_id", "text_hash": "kept_hash"})
+    hashed = docs.withColumn("kept_text", F.xxhash64(F.col(text).cast("string")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")) & (F.col("kept_text") == F.col("kept_hash"))
+    return hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "kept_text"]).select(docs.columns)
