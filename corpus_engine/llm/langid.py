@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from corpus_engine.llm.base import slices
-from corpus_engine.llm.linear import calibration, margins, svm
+from corpus_engine.llm.linear import calibration, held_back, margins, svm
 from corpus_engine.llm.ngrams import Grams
 from corpus_engine.llm.sample import per_class
 
@@ -74,11 +74,11 @@ def _machines(languages: list[str]) -> dict[str, dict[str, int]]:
 
 
 def _fit(group: pd.DataFrame) -> pd.DataFrame:
-    """One machine; every fourth row is held back to fit the probabilities."""
+    """One machine; every fourth row of each side is held back to fit the probabilities."""
     group = group.sort_values(["doc_id", "side"])
     rows = GRAMS.rows(pa.array(group["text"]))
     sign = group["side"].to_numpy()
-    back = np.arange(len(rows)) % 4 == 3
+    back = held_back(sign)
     fitted = [r for r, h in zip(rows, back, strict=True) if not h]
     weights, bias = svm(fitted, sign[~back], GRAMS.width)
     held = [r for r, h in zip(rows, back, strict=True) if h] or rows

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpus_engine.llm.base import slices
-from corpus_engine.llm.linear import calibration, logistic, margins
+from corpus_engine.llm.linear import calibration, held_back, logistic, margins
 from corpus_engine.llm.ngrams import Grams
 from corpus_engine.llm.sample import per_class
 
@@ -71,7 +71,7 @@ def _fit(group: pd.DataFrame) -> pd.DataFrame:
     group = group.sort_values(["doc_id", "quality"])
     rows = GRAMS.rows(pa.array(group["text"]))
     target = group["quality"].to_numpy(dtype=float)
-    back = np.arange(len(rows)) % 4 == 3
+    back = held_back(target)
     weights, bias = logistic([r for r, h in zip(rows, back, strict=True) if not h], target[~back], GRAMS.width)
     held = [r for r, h in zip(rows, back, strict=True) if h] or rows
     slope, offset = calibration(margins(held, weights, bias), target[back] if back.any() else target)
