@@ -14,7 +14,7 @@ from corpus_engine.catalog.base import (
     tfidf_sql,
     with_sql,
 )
-from corpus_engine.catalog.text import SMALL, weights
+from corpus_engine.catalog.text import FULL, weights
 from corpus_engine.operators import models as md
 from corpus_engine.operators import sampling as sp
 from corpus_engine.operators.topk import top_n_per_group
@@ -122,7 +122,7 @@ def encoded_outlets(spark, sf):
 @register(
     "C1",
     with_sql(
-        tfidf_sql(**SMALL),
+        tfidf_sql(**FULL),
         """SELECT f.id, l.quality, f.term_id, round(f.tfidf, 6) AS tfidf
            FROM features f JOIN labels l ON l.doc_id = f.id""",
     ),
@@ -130,7 +130,7 @@ def encoded_outlets(spark, sf):
 def labelled_feature_rows(spark, sf):
     """Features of the labelled documents only."""
     labels = table(spark, sf, "labels").select(F.col("doc_id").alias("id"), "quality")
-    rows = weights(spark, sf, **SMALL)[2].select("id", "term_id", F.round("tfidf", 6).alias("tfidf"))
+    rows = weights(spark, sf, **FULL)[2].select("id", "term_id", F.round("tfidf", 6).alias("tfidf"))
     return md.labelled_features(labels, rows)
 
 

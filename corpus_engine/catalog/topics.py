@@ -16,11 +16,11 @@ from corpus_engine.catalog.base import (
     with_sql,
 )
 from corpus_engine.catalog.evaluation import LANGS
-from corpus_engine.catalog.text import SMALL, weights
+from corpus_engine.catalog.text import FULL, weights
 from corpus_engine.operators import profile as pf
 from corpus_engine.operators import topics as tp
 from corpus_engine.operators.density import density_clusters
-from corpus_engine.session import scratch_path
+from corpus_engine.session import scratch_path, settled
 from corpus_engine.sources import tables as tb
 
 
@@ -134,7 +134,7 @@ def density_topic_ids(spark, sf):
 @register("H1")
 def document_vectors(spark, sf):
     """One unit vector of 384 numbers per article."""
-    return tp.embed_documents(weights(spark, sf, **SMALL)[2])
+    return tp.embed_documents(weights(spark, sf, **FULL)[2])
 
 
 # --- topic dimension ---------------------------------------------------------------------------
@@ -207,7 +207,7 @@ def topics_by_size(spark, sf):
     with_sql(INFO, "SELECT t.id, t.topic_id, i.name AS topic_label FROM topical t JOIN info i ON i.topic = t.topic_id WHERE t.topic_id <> -1"),
 )
 def labelled_articles(spark, sf):
-    return tp.label_articles(topical(spark, sf).select("id", "topic_id"), dimension(spark, sf))
+    return tp.label_articles(topical(spark, sf).select("id", "topic_id"), settled(dimension(spark, sf), "topic-info"))
 
 
 @register(
@@ -216,7 +216,7 @@ def labelled_articles(spark, sf):
 )
 def topic_names_with_fallback(spark, sf):
     """Topics missing from the dimension are shown by number."""
-    big = dimension(spark, sf).filter(F.col("count") >= 60)
+    big = settled(dimension(spark, sf).filter(F.col("count") >= 60), "topic-info")
     return tp.attach_topic_label(topical(spark, sf).select("id", "topic_id"), big)
 
 

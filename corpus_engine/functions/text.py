@@ -23,13 +23,13 @@ def without_urls(text: Column) -> Column:
 
 
 def letters_only(text: Column) -> Column:
-    """Everything but a-z becomes a space, one for one."""
-    return F.regexp_replace(text, "[^a-z]", " ")
+    """Everything but a-z and white space becomes a space, one for one."""
+    return F.regexp_replace(text, r"(?U)[^a-z\s\x1c-\x1f]", " ")
 
 
 def squeezed(text: Column) -> Column:
-    """Runs of spaces collapse to one; no space at either end."""
-    return F.trim(F.regexp_replace(text, " +", " "))
+    """Runs of white space collapse to one space; none at either end."""
+    return F.trim(F.regexp_replace(text, r"(?U)[\s\x1c-\x1f]+", " "))
 
 
 def normalize_text(text: Column) -> Column:

@@ -54,17 +54,16 @@ def importance_of_biggest(
     )
 
 
-def contributions(
-    features: DataFrame, coef: DataFrame, preds: DataFrame, cells: int | None = None, key: str = "id"
-) -> DataFrame:
+def contributions(features: DataFrame, coef: DataFrame, preds: DataFrame, key: str = "id") -> DataFrame:
     """``coefficient x weight`` of every term of a document for its predicted class.
 
-    ``preds`` has ``(key, prediction)``. ``cells`` is the size of the coefficient matrix (terms x
-    classes, known from the model): up to ``BROADCAST_CELLS`` it is broadcast, and the feature rows
-    stay where they are; above, or unknown, Spark picks the join by size.
+    ``preds`` has ``(key, prediction)``. The coefficients are written and their numbers counted: up
+    to ``BROADCAST_CELLS`` they are broadcast, and the feature rows stay where they are; above
+    that Spark picks the join by size.
     """
-    table = coef.select("term_id", "weights")
-    if cells is not None and cells <= BROADCAST_CELLS:
+    table = settled(coef.select("term_id", "weights"), "coefficients")
+    cells = table.agg(F.sum(F.size("weights"))).first()[0] or 0
+    if cells <= BROADCAST_CELLS:
         table = F.broadcast(table)
     return (
         features.join(preds.select(key, "prediction"), key)
@@ -97,7 +96,6 @@ def linear_attribution(
     coef: DataFrame,
     preds: DataFrame,
     background: DataFrame,
-    cells: int | None = None,
     key: str = "id",
 ) -> DataFrame:
     """``coef x (value - background mean)`` on the non-zero terms of every document.
@@ -107,7 +105,7 @@ def linear_attribution(
     # one row per term that the background uses; the feature rows stay where they are
     means = settled(background_mean(features, background, key), "background", BROADCAST_ROWS)
     return (
-        contributions(features, coef, preds, cells, key)
+        contributions(features, coef, preds, key)
         .join(means, "term_id", "left")
         .withColumn("mean_bg", F.coalesce("mean_bg", F.lit(0.0)))
         .withColumn("attribution", F.col("weight") * (F.col("tfidf") - F.col("mean_bg")))
@@ -147,10 +145,12 @@ def attribution_total(
     """
     long = coef_long(coef)
     means = background_mean(features, background, key)
-    base = (
+    # one row per class, written so that the join with all documents is a broadcast by size
+    base = settled(
         means.join(long, "term_id")
         .groupBy(F.col("label_idx").alias("prediction"))
-        .agg(F.sum(F.col("weight") * F.col("mean_bg")).alias("base"))
+        .agg(F.sum(F.col("weight") * F.col("mean_bg")).alias("base")),
+        "base",
     )
     score = (
         contributions(features, coef, preds, key=key)

@@ -11,6 +11,7 @@ from corpus_engine.functions.hashing import random_key
 from corpus_engine.functions.text import ngrams
 from corpus_engine.functions.vectors import sparse_struct, to_vector
 from corpus_engine.operators.topk import take_largest, top_n_per_group, with_sorted_index
+from corpus_engine.session import settled
 
 # A vocabulary row is some tens of bytes, so this many rows stay far below what a task can hold.
 BROADCAST_ROWS = 200_000
@@ -135,19 +136,16 @@ def _weighted(
     sublinear: bool,
     text: str,
     key: str,
-    max_features: int | None,
 ) -> DataFrame:
     """``(key, term_id, term, tf, _w)`` before the lengths are made equal, partitioned by ``key``.
 
     The compact text is partitioned by document once, before it is exploded. The vocabulary comes
     to the occurrences and drops the unknown ones before they are counted; counting runs on
-    ``(key, term_id)`` numbers in place. ``max_features`` is the row bound of ``vocab``: up to
-    ``BROADCAST_ROWS`` it is broadcast, above that, or without a bound, Spark picks the join by
-    size.
+    ``(key, term_id)`` numbers in place. The vocabulary is written and its rows are counted: up to
+    ``BROADCAST_ROWS`` it is broadcast, above that Spark picks the join by size.
     """
-    known, details = vocab.select("term_id", "term"), vocab.select("term_id", "term", "idf")
-    if max_features is not None and max_features <= BROADCAST_ROWS:
-        known, details = F.broadcast(known), F.broadcast(details)
+    vocab = settled(vocab.select("term_id", "term", "idf"), "vocabulary", BROADCAST_ROWS)
+    known, details = vocab.select("term_id", "term"), vocab
     counts = (
         term_occurrences(df.select(key, text).repartition(key), text, ngram_range, key)
         .join(known, "term")
@@ -167,14 +165,13 @@ def tfidf(
     sublinear: bool = True,
     text: str = "text_clean",
     key: str = "id",
-    max_features: int | None = 50_000,
 ) -> DataFrame:
     """``(key, term_id, term, tf, tfidf)`` with the given vocabulary, unit length per document.
 
     Terms outside the vocabulary are ignored; a document without any known term has no rows. The
     rows stay partitioned by document, so per-document operators on them need no shuffle.
     """
-    weighted = _weighted(df, vocab, ngram_range, sublinear, text, key, max_features)
+    weighted = _weighted(df, vocab, ngram_range, sublinear, text, key)
     length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
     return weighted.select(key, "term_id", "term", "tf", (F.col("_w") / length).alias("tfidf"))
 
@@ -186,10 +183,10 @@ def transform_tfidf(
     sublinear: bool = True,
     text: str = "text_clean",
     key: str = "id",
-    max_features: int | None = 50_000,
 ) -> DataFrame:
-    """Weights of new documents under a frozen vocabulary; never refits."""
-    return tfidf(df, vocab, ngram_range, sublinear, text, key, max_features)
+    """Weights of new documents under a frozen vocabulary; never refits. A document without known
+    terms has one row of nulls, so that none is lost."""
+    return df.select(key).join(tfidf(df, vocab, ngram_range, sublinear, text, key), key, "left")
 
 
 NO_ENTRIES = "array<struct<term_id:int,term:string,tfidf:double>>"
@@ -202,14 +199,13 @@ def document_entries(
     sublinear: bool = True,
     text: str = "text_clean",
     key: str = "id",
-    max_features: int | None = 50_000,
 ) -> DataFrame:
     """``(key, entries)``: the TF-IDF row of each document as one array of ``(term_id, term, tfidf)``.
 
     Every document has a row, with an empty array where it has no known term. The array holds the
     distinct terms of one document and is built where the document already is.
     """
-    grouped = _weighted(df, vocab, ngram_range, sublinear, text, key, max_features).groupBy(key).agg(
+    grouped = _weighted(df, vocab, ngram_range, sublinear, text, key).groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct("term_id", "term", "_w"))).alias("_e"),
         F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_length"),
     )
@@ -238,7 +234,7 @@ def feature_structs(
 ) -> DataFrame:
     """``(key, features)`` in sparse storage form, one row per document, empty ones included."""
     size = vocab.agg(F.count(F.lit(1))).scalar()
-    entries = features.groupBy(key).agg(
+    entries = features.filter(F.col("term_id").isNotNull()).groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct("term_id", "tfidf"))).alias("_e")
     )
     none = F.array().cast("array<struct<term_id:int,tfidf:double>>")
@@ -262,11 +258,10 @@ def matrix_profile(features: DataFrame, vocab: DataFrame, documents: DataFrame)
     """Rows, features, stored entries and share of zeros of the feature matrix."""
     rows = documents.agg(F.count(F.lit(1))).scalar()
     columns = vocab.agg(F.count(F.lit(1))).scalar()
-    return features.agg(
-        F.max(rows).alias("rows"), F.max(columns).alias("features"), F.count(F.lit(1)).alias("nnz")
-    ).withColumn(
+    stored = features.agg(F.count(F.lit(1)).alias("nnz"))
+    return stored.select(rows.alias("rows"), columns.alias("features"), "nnz").withColumn(
         "sparsity_pct",
-        F.round(100.0 * (1 - F.col("nnz") / (F.col("rows").cast("double") * F.col("features"))), 4),
+        F.round(100.0 * (1 - F.try_divide(F.col("nnz"), F.col("rows").cast("double") * F.col("features"))), 4),
     )
 
 

@@ -9,9 +9,9 @@ from pyspark.ml.classification import (
     LogisticRegression,
     LogisticRegressionModel,
     OneVsRest,
+    OneVsRestModel,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import UnivariateFeatureSelector
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -74,36 +74,22 @@ def train_logistic(
 def train_boosted(
     df: DataFrame,
     label: str = "label_idx",
-    max_iter: int = 10,
+    max_iter: int = 100,
     max_depth: int = 4,
     step: float = 0.1,
     subsample: float = 0.8,
-    keep_features: int = 64,
     seed: int = 42,
 ):
-    """Boosted-tree challenger, one binary booster per class, on the ``keep_features`` most telling terms.
-
-    100 rounds give the reference setting; the default is small because every class pays for
-    every round.
-    """
-    data = df.select(F.col(label).cast("double").alias("label"), F.col("features"))
-    selector = (
-        UnivariateFeatureSelector(featuresCol="features", labelCol="label", outputCol="selected")
-        .setFeatureType("continuous")
-        .setLabelType("categorical")
-        .setSelectionThreshold(keep_features)
-        .fit(data)
-    )
-    reduced = selector.transform(data).select("label", "selected").persist()
+    """Boosted-tree challenger on all features, one binary booster per class."""
+    data = df.select(F.col(label).cast("double").alias("label"), F.col("features")).persist()
     try:
         booster = GBTClassifier(
-            featuresCol="selected", maxIter=max_iter, maxDepth=max_depth, stepSize=step,
-            subsamplingRate=subsample, seed=seed, maxBins=32,
-        )
-        model = OneVsRest(classifier=booster, featuresCol="selected", parallelism=2).fit(reduced)
+            maxIter=max_iter, maxDepth=max_depth, stepSize=step, subsamplingRate=subsample, seed=seed,
+            maxBins=32, maxMemoryInMB=512,
+        )
+        return OneVsRest(classifier=booster, parallelism=2).fit(data)
     finally:
-        reduced.unpersist()
-    return selector, model
+        data.unpersist()
 
 
 def train_forest(df: DataFrame, label: str = "label_idx", trees: int = 20, max_depth: int = 8, seed: int = 42):
@@ -114,9 +100,8 @@ def train_forest(df: DataFrame, label: str = "label_idx", trees: int = 20, max_d
 
 def predict(model, df: DataFrame) -> DataFrame:
     """Add ``prediction`` (class index) and, where the model has them, class probabilities."""
-    if isinstance(model, tuple):
-        selector, booster = model
-        scored = booster.transform(selector.transform(df)).drop("selected", "rawPrediction")
+    if isinstance(model, OneVsRestModel):
+        scored = model.transform(df).drop("rawPrediction")
         return scored.withColumn("prediction", F.col("prediction").cast("int"))
     scored = model.transform(df).withColumn("prediction", F.col("prediction").cast("int"))
     return scored.withColumn("probability", vector_to_array("probability")).drop("rawPrediction")
@@ -173,15 +158,18 @@ def coef_long(coef: DataFrame) -> DataFrame:
     )
 
 
-def save_model(model: LogisticRegressionModel, labels: DataFrame, path: str) -> None:
+def save_model(model: LogisticRegressionModel | OneVsRestModel, labels: DataFrame, path: str) -> None:
     """Store the classifier and its label table, replacing earlier ones."""
     model.write().overwrite().save(f"{path}/model")
     labels.write.mode("overwrite").parquet(f"{path}/labels")
 
 
-def load_model(spark: SparkSession, path: str) -> tuple[LogisticRegressionModel, DataFrame]:
+def load_model(
+    spark: SparkSession, path: str, kind: type = LogisticRegressionModel
+) -> tuple[LogisticRegressionModel | OneVsRestModel, DataFrame]:
+    """A stored classifier and its labels; ``kind`` is ``OneVsRestModel`` for the boosted trees."""
     try:
-        model = LogisticRegressionModel.load(f"{path}/model")
+        model = kind.load(f"{path}/model")
     except Exception as error:
         raise FileNotFoundError(f"no trained model at {path}: run the training first") from error
     return model, spark.read.parquet(f"{path}/labels")

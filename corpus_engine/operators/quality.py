@@ -109,9 +109,9 @@ def expect_features(
     columns = vocab.agg(F.count(F.lit(1))).scalar()
     cells = rows.cast("double") * columns
     observed = {
-        "rows": F.max(rows),
-        "features": F.max(columns),
-        "sparsity": F.round(1 - F.count(F.lit(1)) / F.max(cells), 6),
+        "rows": F.coalesce(F.max(rows), rows),
+        "features": F.coalesce(F.max(columns), columns),
+        "sparsity": F.round(1 - F.try_divide(F.count(F.lit(1)), F.coalesce(F.max(cells), cells)), 6),
         "min_weight": F.round(F.min("tfidf"), 6),
         "max_weight": F.round(F.max("tfidf"), 6),
     }

@@ -61,6 +61,11 @@ def reduce_with(model: PCAModel, df: DataFrame, column: str = "embedding") -> Da
     return reduced.withColumn(column, vector_to_array("_p")).select(df.columns)
 
 
+def load_reducer(path: str) -> PCAModel:
+    """A reducer stored with its ``write``."""
+    return PCAModel.load(path)
+
+
 def reduce_dims(df: DataFrame, column: str = "embedding", k: int = 5) -> DataFrame:
     """Fit and apply on the same rows."""
     return reduce_with(fit_reducer(df, column, k), df, column)
@@ -123,10 +128,13 @@ def assign_topics(
 ) -> DataFrame:
     """Add ``topic_id`` and ``distance`` of the nearest centroid; beyond ``radius`` the id is -1.
 
-    The centroids, one row per topic, travel as one array; each row picks its minimum in place.
-    Ties go to the smaller topic id.
+    ``centroids`` may have a ``radius`` of its own per topic. The centroids, one row per topic,
+    travel as one array; each row picks its minimum in place. Ties go to the smaller topic id;
+    without any centroid every row is an outlier.
     """
-    table = centroids.agg(F.sort_array(F.collect_list(F.struct("topic_id", "centroid")))).scalar()
+    own = F.col("radius") if "radius" in centroids.columns else F.lit(radius)
+    fields = F.struct("topic_id", "centroid", own.cast("double").alias("radius"))
+    table = centroids.agg(F.sort_array(F.collect_list(fields))).scalar()
     rows = df.withColumns({"_x": F.col(column).cast("array<double>"), "_centres": table})
 
     def gap(c):
@@ -135,12 +143,14 @@ def assign_topics(
         return F.sqrt(squared_distance(F.col("_x"), c["centroid"]))
 
     nearest = F.array_min(
-        F.transform("_centres", lambda c: F.struct(gap(c).alias("d"), c["topic_id"].alias("t")))
+        F.transform(
+            "_centres",
+            lambda c: F.struct(gap(c).alias("d"), c["topic_id"].alias("t"), c["radius"].alias("r")),
+        )
     )
     found = rows.withColumn("_near", nearest)
-    topic = F.col("_near.t")
-    if radius is not None:
-        topic = F.when(F.col("_near.d") <= radius, topic).otherwise(OUTLIER)
+    outside = F.isnull("_near.t") | F.coalesce(F.col("_near.d") > F.col("_near.r"), F.lit(False))
+    topic = F.when(outside, OUTLIER).otherwise(F.col("_near.t"))
     return found.select(
         *df.columns, topic.cast("int").alias("topic_id"), F.col("_near.d").alias("distance")
     )
@@ -180,14 +190,18 @@ def class_tfidf(df: DataFrame, class_col: str, n: int = 10, text: str = "text_cl
     )
 
 
-def renumber_topics(df: DataFrame, topic: str = "topic_id", key: str = "id") -> DataFrame:
-    """Topics by size, 0 the largest (ties by old id); -1 stays."""
+def topic_numbers(df: DataFrame, topic: str = "topic_id") -> DataFrame:
+    """``(topic, number)``: topics by size, 0 the largest (ties by old id)."""
     sizes = df.filter(F.col(topic) != OUTLIER).groupBy(topic).agg(F.count(F.lit(1)).alias("_n"))
     # one row per topic
     rank = F.row_number().over(Window.orderBy(F.desc("_n"), topic)) - 1
-    numbers = settled(sizes.select(topic, rank.cast("int").alias("_new")), "numbers")
-    return df.join(numbers, topic, "left").withColumn(
-        topic, F.coalesce("_new", F.lit(OUTLIER))
+    return settled(sizes.select(topic, rank.cast("int").alias("number")), "numbers")
+
+
+def renumber_topics(df: DataFrame, topic: str = "topic_id") -> DataFrame:
+    """Topics by size, 0 the largest (ties by old id); -1 stays."""
+    return df.join(topic_numbers(df, topic), topic, "left").withColumn(
+        topic, F.coalesce("number", F.lit(OUTLIER))
     ).select(df.columns)
 
 

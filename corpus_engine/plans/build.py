@@ -46,9 +46,20 @@ class Store:
 
 
 def build_articles(spark: SparkSession, csv_paths: Sequence[str], store: Store) -> None:
-    """Read the CSVs, clean, store."""
-    raw = src.read_articles_csv(spark, csv_paths)
-    tb.write_table(cl.clean(raw).drop("file_rank"), store.path("articles"))
+    """Read the CSVs once, clean, store; with the cleaning log and the broken rules next to it.
+
+    Ids that occur more than once are an error: later steps join on them.
+    """
+    store.write(src.read_articles_csv(spark, csv_paths), "raw")
+    raw = store.read(spark, "raw")
+    store.write(cl.cleaning_report(raw), "cleaning_log")
+    store.write(cl.clean(raw).drop("file_rank"), "cleaned")
+    cleaned = store.read(spark, "cleaned")
+    ql.assert_unique(cleaned)
+    tb.write_table(cleaned, store.path("articles"))
+    articles = src.read_articles(spark, store.path("articles"))
+    store.write(ql.validate_articles(articles), "broken_rules")
+    store.write(ql.expect_table(articles), "table_expectations")
 
 
 def build_features(
@@ -69,11 +80,13 @@ def build_features(
     prepared = cl.preprocess(cl.drop_short(articles, min_chars))
     tb.write_table(prepared, store.path("articles_clean"))
     docs = store.read(spark, "articles_clean").select("id", "text_clean")
+    ql.assert_unique(docs)
     fitted = docs if fit_on is None else docs.join(fit_on.select("id"), "id", "left_semi")
     tb.write_vocab(ft.fit_vocabulary(fitted, min_df, max_df, max_features), store.path("vocab"))
     vocab = tb.read_vocab(spark, store.path("vocab"))
-    entries = ft.entry_structs(ft.document_entries(docs, vocab, max_features=max_features), vocab)
+    entries = ft.entry_structs(ft.document_entries(docs, vocab), vocab)
     store.write(entries, "features")
+    store.write(ql.expect_features(feature_rows(spark, store), vocab, docs), "feature_expectations")
 
 
 def feature_rows(spark: SparkSession, store: Store) -> DataFrame:
@@ -94,7 +107,9 @@ def discover_topics(
 ) -> None:
     """Cluster a stratified sample, assign every article to the nearest topic, name the topics.
 
-    ``embeddings`` ``(id, embedding)`` replaces the built-in document vectors.
+    ``embeddings`` ``(id, embedding)`` replaces the built-in document vectors. Articles without a
+    vector (no known term) are outliers. The reducer, and the centroids with their radii and final
+    numbers, are stored, so that new articles can be assigned (``assign_to_topics``).
     """
     articles = store.read(spark, "articles_clean")
     if embeddings is None:
@@ -104,20 +119,31 @@ def discover_topics(
     ids = sp.stratified_sample(articles.select("id", "publication"), "publication", sample_size, seed)
     sample = vectors.join(ids.select("id"), "id", "left_semi")
     reducer = tp.fit_reducer(sample, k=dims)
+    reducer.write().overwrite().save(store.path("reducer"))
     store.write(tp.reduce_with(reducer, sample), "fit_vectors")
     fit = store.read(spark, "fit_vectors")
     store.write(density_clusters(fit, min_topic_size, min_pts), "fit_topics")
     fit_topics = store.read(spark, "fit_topics")
     placed = fit.join(fit_topics, "id")
-    store.write(tp.topic_centroids(placed), "centroids")
-    centroids = store.read(spark, "centroids")
-    # a new article belongs to a topic when it lies as near as nearly all of the sample's members
-    members = tp.assign_topics(fit, centroids, metric="euclidean").withColumnRenamed("topic_id", "nearest")
+    store.write(tp.topic_centroids(placed), "centres")
+    centres = store.read(spark, "centres")
+    # a new article belongs to a topic when it lies as near as nearly all of the topic's members
+    members = tp.assign_topics(fit, centres, metric="euclidean").withColumnRenamed("topic_id", "nearest")
     inside = members.join(fit_topics, "id").filter(F.col("topic_id") == F.col("nearest"))
-    radius = inside.agg(F.percentile_approx("distance", keep, 10_000)).first()[0]
-    assigned = tp.assign_topics(
-        tp.reduce_with(reducer, vectors), centroids, radius, metric="euclidean"
-    ).select("id", "topic_id")
+    radii = inside.groupBy("topic_id").agg(F.percentile_approx("distance", keep, 10_000).alias("radius"))
+    # a topic none of whose members is nearest to its centre takes none
+    store.write(
+        centres.join(radii, "topic_id", "left").withColumn("radius", F.coalesce("radius", F.lit(-1.0))), "radii"
+    )
+    bounded = store.read(spark, "radii")
+    placed_all = tp.assign_topics(tp.reduce_with(reducer, vectors), bounded, metric="euclidean").select("id", "topic_id")
+    assigned = articles.select("id").join(placed_all, "id", "left").withColumn(
+        "topic_id", F.coalesce("topic_id", F.lit(tp.OUTLIER))
+    )
+    store.write(assigned, "assigned")
+    assigned = store.read(spark, "assigned")
+    numbers = tp.topic_numbers(assigned)
+    store.write(bounded.join(numbers, "topic_id").select(F.col("number").alias("topic_id"), "centroid", "radius"), "centroids")
     in_sample = fit_topics.select("id", F.lit(True).alias("_fit"))
     numbered = tp.renumber_topics(assigned).join(in_sample, "id", "left").withColumn(
         "in_fit", F.coalesce("_fit", F.lit(False))
@@ -131,16 +157,35 @@ def discover_topics(
     tb.write_table(tp.label_articles(topics.drop("in_fit"), info), store.path("articles_with_topics"))
 
 
+def assign_to_topics(
+    spark: SparkSession, store: Store, articles: DataFrame, embeddings: DataFrame | None = None
+) -> DataFrame:
+    """``(id, topic_id)`` of new articles ``(id, title, content)`` under the discovered topics.
+
+    ``embeddings`` ``(id, embedding)`` is needed where the topics were discovered with given ones.
+    """
+    if embeddings is None:
+        prepared = cl.preprocess(articles).select("id", "text_clean")
+        entries = ft.document_entries(prepared, tb.read_vocab(spark, store.path("vocab")))
+        embeddings = tp.embed_documents(entries.select("id", F.inline("entries")))
+    reducer = tp.load_reducer(store.path("reducer"))
+    centroids = store.read(spark, "centroids", "discover topics first")
+    found = tp.assign_topics(tp.reduce_with(reducer, embeddings), centroids, metric="euclidean")
+    return articles.select("id").join(found.select("id", "topic_id"), "id", "left").withColumn(
+        "topic_id", F.coalesce("topic_id", F.lit(tp.OUTLIER))
+    )
+
+
 def train_models(
     spark: SparkSession,
     store: Store,
     C: float = 5.0,
     max_iter: int = 1000,
-    boosted_rounds: int = 10,
+    boosted_rounds: int = 100,
     test_size: float = 0.2,
     experiment: str = "topic-classification",
 ) -> DataFrame:
-    """Split, train both classifiers, log them, keep the linear one; returns the comparison."""
+    """Split, train both classifiers, log and keep them; returns the comparison."""
     labelled = store.read(spark, "articles_with_topics").select("id", "topic_id")
     ql.assert_unique(labelled)
     labels = md.label_table(labelled, "topic_id")
@@ -155,6 +200,7 @@ def train_models(
     models = {"logistic_regression": logistic}
     if boosted_rounds:
         models["boosted_trees"] = md.train_boosted(train, max_iter=boosted_rounds)
+        md.save_model(models["boosted_trees"], labels, store.path("boosted_classifier"))
     sides = [
         md.predict(model, test).select(
             "id", F.lit(name).alias("model"), F.col("label_idx").alias("label"), "prediction"
@@ -163,6 +209,9 @@ def train_models(
     ]
     store.write(src.union_all(sides), "predictions")
     comparison = mt.compare_models(store.read(spark, "predictions"), "logistic_regression")
+    sizes = store.read(spark, "split").agg(
+        F.count_if(~F.col("is_test")).alias("train_size"), F.count_if("is_test").alias("test_size")
+    ).first()
     for row in comparison.collect():
         tb.append_run(
             spark,
@@ -170,15 +219,19 @@ def train_models(
             f"{row.model}-C{C}-{boosted_rounds}",
             experiment,
             row.model,
-            {"model": row.model, "C": C, "max_iter": max_iter, "rounds": boosted_rounds,
+            {"model": row.model, "C": C, "max_iter": max_iter, "rounds": boosted_rounds, "solver": "lbfgs",
+             "train_size": sizes.train_size, "test_size": sizes.test_size,
              "n_classes": logistic.numClasses, "n_features": logistic.numFeatures},
             {"accuracy": row.accuracy, "f1_macro": row.f1_macro},
         )
     return comparison
 
 
-def evaluate_models(spark: SparkSession, store: Store, words: int = 15) -> dict[str, DataFrame]:
-    """The evaluation tables of the linear classifier on the held-out articles."""
+def evaluate_models(
+    spark: SparkSession, store: Store, words: int = 15, experiment: str = "topic-classification"
+) -> dict[str, DataFrame]:
+    """The evaluation tables of the linear classifier on the held-out articles; logs the run and
+    stores the class report."""
     preds = store.read(spark, "predictions").filter("model = 'logistic_regression'").drop("model")
     coef = store.read(spark, "coef")
     _, labels = md.load_model(spark, store.path("classifier"))
@@ -189,6 +242,13 @@ def evaluate_models(spark: SparkSession, store: Store, words: int = 15) -> dict[
     )
     tb.write_csv(importance, store.path("topic_word_importance"))
     attributions = ex.linear_attribution(rows, coef, preds, sp.background_ids(split))
+    store.write(mt.classification_report(preds), "class_report")
+    scores = mt.f1(preds).first()
+    tb.append_run(
+        spark, store.path("runs"), "evaluation", experiment, "logistic_regression_eval",
+        {"model": "logistic_regression"},
+        {"accuracy": mt.accuracy(preds).first()[0], "f1_macro": scores[0], "f1_weighted": scores[1]},
+    )
     return {
         "accuracy": mt.accuracy(preds),
         "f1": mt.f1(preds),

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -10,8 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def build_session(app: str = "corpus_engine", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the operators rely on (UTC dates, AQE with skew handling)."""
+def build_session(
+    app: str = "corpus_engine", master: str | None = None, shared: str | None = None, **conf: str
+) -> SparkSession:
+    """A session with the settings the operators rely on (UTC dates, AQE with skew handling).
+
+    ``shared`` names the folder for intermediate tables that all executors can reach.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
@@ -21,6 +29,8 @@ def build_session(app: str = "corpus_engine", master: str | None = None, **conf:
     )
     if master:
         builder = builder.master(master)
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
@@ -29,12 +39,16 @@ def build_session(app: str = "corpus_engine", master: str | None = None, **conf:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (single-machine tests) a local folder is made and set.
+    A session on one machine that names none gets a temporary folder, removed when the program
+    ends. On a cluster a local folder would give incomplete results, so a missing name is an error.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="corpus-engine-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)
     return named

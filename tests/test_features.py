@@ -59,7 +59,7 @@ def test_weights_match_brute_force(spark, min_df, max_df, k, high, sublinear):
     vocab = ft.fit_vocabulary(df, min_df, max_df, k, (1, high))
     assert [r.term for r in vocab.orderBy("term_id").collect()] == kept
     assert [r.term_id for r in vocab.orderBy("term_id").collect()] == list(range(len(kept)))
-    got = {(r.id, r.term): r.tfidf for r in ft.tfidf(df, vocab, (1, high), sublinear, max_features=k).collect()}
+    got = {(r.id, r.term): r.tfidf for r in ft.tfidf(df, vocab, (1, high), sublinear).collect()}
     assert got.keys() == want.keys()
     assert all(abs(got[x] - want[x]) < 1e-12 for x in want)
 

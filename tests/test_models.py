@@ -65,10 +65,10 @@ def test_two_class_toy(spark):
 
     df = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(texts)], "id long, text_clean string, label_idx int")
     vocab = ft.fit_vocabulary(df, 1, 1.0, None, (1, 1)).cache()
-    vectors = ft.feature_vectors(ft.tfidf(df, vocab, (1, 1), False, max_features=None), df, vocab)
+    vectors = ft.feature_vectors(ft.tfidf(df, vocab, (1, 1), False), df, vocab)
     model = md.train_logistic(df.select("id", "label_idx").join(vectors, "id"), C=1.0)
     new = spark.createDataFrame([(1, "quarterback threw touchdown final quarter")], "id long, text_clean string")
-    scored = md.predict(model, ft.feature_vectors(ft.tfidf(new, vocab, (1, 1), False, max_features=None), new, vocab)).first()
+    scored = md.predict(model, ft.feature_vectors(ft.tfidf(new, vocab, (1, 1), False), new, vocab)).first()
     assert scored.prediction == 1
     coef = md.coef_long(md.coef_table(spark, model, vocab)).filter("label_idx = 1")
     assert coef.orderBy(F.desc("weight")).first().term in {"game", "world"}
@@ -84,7 +84,7 @@ def test_label_round_trip(spark):
 
 
 def test_trees_and_sweep(separable):
-    booster = md.train_boosted(separable, max_iter=2, keep_features=5)
+    booster = md.train_boosted(separable, max_iter=2)
     forest = md.train_forest(separable, trees=5, max_depth=3)
     for model in (booster, forest):
         preds = md.predict(model, separable).select(F.col("label_idx").alias("label"), "prediction")
@@ -190,6 +190,11 @@ def test_jobs_from_csv_to_scores(spark, tmp_path):
     assert all(abs(sum(r.probability) - 1) < 1e-6 and 0 < r.confidence <= 1 for r in rows.values())
     assert rows[3].top_words == [] and rows[1].top_words[0].score > 0
     assert rows[1].topic_label.startswith(f"{rows[1].topic_id}_")
+    placed = {r.id: r.topic_id for r in build.assign_to_topics(spark, store, new).collect()}
+    assert placed[3] == -1 and placed[1] in (-1, rows[1].topic_id) and placed[2] in (-1, rows[2].topic_id)
+    assert store.read(spark, "cleaning_log").count() == 4 and store.read(spark, "feature_expectations").count() == 5
+    boosted, _ = md.load_model(spark, store.path("boosted_classifier"), md.OneVsRestModel)
+    assert len(boosted.models) == len(info)
     folder = tmp_path / "texts"
     folder.mkdir()
     (folder / "a.txt").write_text("Carbon emissions and ocean warming change the climate.")

@@ -135,3 +135,27 @@ def test_topic_dimension_and_listing(labelled):
     assert tp.label_status(labelled).first().outliers == 2
     assert tp.topic_totals(info).first().topics == 3
     assert [r.topic for r in tp.biggest_topics(info, 2).collect()] == [2, 9]
+
+
+def test_nearest_neighbours_over_many_cells_and_equal_points(spark, monkeypatch):
+    monkeypatch.setattr(dn, "CELL_ROWS", 20)
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(0, 1, 3).tolist()) for i in range(150)] + [(200 + i, [5.0, 5.0, 5.0]) for i in range(60)]
+    rows += [(300, [100.0, 0.0, 0.0])]
+    got = {}
+    for r in dn.nearest_neighbours(spark.createDataFrame(rows, "id long, embedding array<double>"), 5).collect():
+        got.setdefault(r.src, []).append(r.distance)
+    points = np.array([x for _, x in rows])
+    for k, (i, x) in enumerate(rows):
+        want = np.sort(np.delete(np.linalg.norm(points - np.array(x), axis=1), k))[:5]
+        assert np.allclose(sorted(got[i]), want)
+
+
+def test_no_points_and_no_centroids(spark):
+    none = spark.createDataFrame([], "id long, embedding array<double>")
+    assert dn.nearest_neighbours(none, 3).count() == 0
+    points = spark.createDataFrame([(1, [1.0, 0.0])], "id long, embedding array<double>")
+    centroids = spark.createDataFrame([], "topic_id int, centroid array<double>")
+    assert [r.topic_id for r in tp.assign_topics(points, centroids).collect()] == [-1]
+    own = spark.createDataFrame([(0, [1.0, 1.0], 0.5), (1, [3.0, 0.0], 2.5)], "topic_id int, centroid array<double>, radius double")
+    assert [r.topic_id for r in tp.assign_topics(points, own, metric="euclidean").collect()] == [-1]
