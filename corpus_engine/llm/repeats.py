@@ -34,11 +34,12 @@ GRAM = 32
 MOST = 32  # different contexts sorted together
 REACH = 256  # a power of two over the places of an anchor in its window
 SYMBOLS = 400_000  # symbols sorted in one go
+SLICE = 1_000_000  # bytes hashed in one go
 _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64."""
     out = []
@@ -61,8 +62,7 @@ def window_hashes(symbols: np.ndarray, size: int) -> np.ndarray:
     n = len(symbols)
     if n < size:
         return np.zeros(0, dtype=np.uint64)
-    length = 1 << max(n, 2).bit_length()
-    power, inverse = _powers(length)
+    power, inverse = _powers(1 << max(n, SLICE).bit_length())
     total = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(_LETTERS[symbols] * power[:n], out=total[1:])
     found = (total[size:] - total[:-size]) * inverse[: n - size + 1]
@@ -115,7 +115,7 @@ def _winnow(window: int, gram: int):
     kind = pa.struct([("hash", pa.int64()), ("low", pa.int32()), ("count", pa.int32()), ("reach", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 2_000_000):
+        for batch in slices(batches, "text", SLICE):
             body, offsets = flat(batch.column(1))
             row, *values = anchors(body, offsets, window, gram)
             cut = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
@@ -195,6 +195,38 @@ def _halves(window: int, level: int):
     return run
 
 
+def _shared(parts: list[bytes], group: list[int], width: int) -> np.ndarray:
+    """How many leading bytes each part has in common with some other part of its group. In sorted
+    order that is the most it shares with the part before or after it."""
+    order = np.array(sorted(range(len(parts)), key=lambda i: (group[i], parts[i])))
+    sizes = np.array([len(p) for p in parts])[order]
+    grid = np.frombuffer(b"".join([p.ljust(width, b"\0") for p in parts]), np.uint8).reshape(-1, width)[order]
+    differ = grid[1:] != grid[:-1]
+    common = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+    common = np.minimum(common, np.minimum(sizes[1:], sizes[:-1]))
+    groups = np.array(group)[order]
+    common[groups[1:] != groups[:-1]] = -1
+    most = np.full(len(parts), -1)
+    most[order[1:]] = common
+    most[order[:-1]] = np.maximum(most[order[:-1]], common)
+    return most
+
+
+def trimmed(groups: list[list[tuple]], window: int) -> list[list[tuple]]:
+    """The groups with each context cut to the bytes around the anchor that some other context of the
+    group shares. No repeated window reaches beyond them; contexts that share less than a window
+    before and behind the anchor together have none and go, as do groups with one context left."""
+    rows = [r for g in groups for r in g]
+    group = [k for k, g in enumerate(groups) for _ in g]
+    left = _shared([r[1][: r[4]][::-1] for r in rows], group, window)
+    right = _shared([r[1][r[4] : r[4] + window] for r in rows], group, window)
+    out: list[list[tuple]] = [[] for _ in groups]
+    for k, (grp, context, key, low, reach, known), a, b in zip(group, rows, left.tolist(), right.tolist(), strict=True):
+        if a + b >= window:
+            out[k].append((grp, context[reach - a : reach + b], key, low + reach - a, a, known))
+    return [g for g in out if len(g) > 1]
+
+
 def repeated_windows(contexts: list[bytes], bounds: np.ndarray, window: int) -> np.ndarray:
     """Whether each byte begins a window that some other place of its text equals. ``bounds``: which
     contexts make up a text. Contexts are closed by a separator, texts by an end symbol."""
@@ -251,6 +283,9 @@ def _sorted_groups(window: int, most: int):
             while groups and (not some or size < SYMBOLS):
                 some.append(groups.pop())
                 size += sum(len(r[1]) for r in some[-1])
+            some = trimmed(some, window)
+            if not some:
+                continue
             rows = [r for g in some for r in g]
             bounds = np.cumsum([0, *(len(g) for g in some)])
             again = repeated_windows([r[1] for r in rows], bounds, window)
