@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def build_session(
     app: str = "corpus_engine", master: str | None = None, shared: str | None = None, **conf: str
 ) -> SparkSession:
@@ -65,11 +68,18 @@ def settled(df: DataFrame, name: str, broadcast_rows: int = 0) -> DataFrame:
     Spark only knows the size of a derived table after the plan is fixed, and by then has shuffled
     the big side of a join with it. A written table has a known size: below Spark's own threshold
     it is broadcast by itself, and up to ``broadcast_rows`` rows (counted) it is marked for it.
-    Beyond that the join is a shuffle join. The copy also ends the lineage and is computed once.
+    Beyond that the join is a shuffle join. The copy also ends the lineage and is computed once, and
+    the shuffle files behind it go as soon as it is written.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    copy = df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    copy = spark.read.parquet(path)
     if broadcast_rows and copy.count() <= broadcast_rows:
         return F.broadcast(copy)
     return copy
