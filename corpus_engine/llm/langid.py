@@ -160,7 +160,7 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
     names = np.array([*model.languages, UNKNOWN], dtype=object)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "judged_text", 4_000_000):
+        for batch in slices(batches, "judged_text", 1_000_000):
             texts = batch.column(len(keep))
             letters = np.array([t is not None and any(map(str.isalpha, t)) for t in texts.to_pylist()], dtype=bool)
             answer, score = np.full(len(texts), len(model.languages)), np.zeros(len(texts))

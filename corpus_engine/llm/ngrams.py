@@ -117,6 +117,9 @@ class Grams:
 
     def rows(self, values: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         """Indices and values of the features of each row, for training."""
+        return [row for at in range(0, len(values), 64) for row in self._some_rows(values[at : at + 64])]
+
+    def _some_rows(self, values: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         step = (1 << self.bits) + 1
         kinds = [(k * step, *p) for k, p in enumerate(self.parts(values))]
         out = []
@@ -125,7 +128,7 @@ class Grams:
             for base, found, offsets, total in kinds:
                 own = found[offsets[i] : offsets[i + 1]]
                 seen, count = np.unique(own[own < 1 << self.bits], return_counts=True)
-                index.append(seen.astype(np.int64) + base)
-                value.append(count * (self.SCALE / max(int(total[i]), 1)))
+                index.append(seen.astype(np.int32) + np.int32(base))
+                value.append((count * (self.SCALE / max(int(total[i]), 1))).astype(np.float32))
             out.append((np.concatenate(index), np.concatenate(value)))
         return out

@@ -30,7 +30,7 @@ from corpus_engine.llm.suffixes import suffix_arrays
 from corpus_engine.session import settled
 
 WINDOW = 200
-GRAM = 32
+GRAM = 64
 MOST = 32  # different contexts sorted together
 REACH = 256  # a power of two over the places of an anchor in its window
 SYMBOLS = 400_000  # symbols sorted in one go
