@@ -32,7 +32,7 @@ def svm(rows: Rows, sign: np.ndarray, width: int, cost: float = 1.0, rounds: int
     return weights, bias
 
 
-def logistic(rows: Rows, target: np.ndarray, width: int, rounds: int = 8, rate: float = 0.3, shrink: float = 1e-4):
+def logistic(rows: Rows, target: np.ndarray, width: int, rounds: int = 24, rate: float = 0.3, shrink: float = 1e-2):
     """Logistic regression by gradient steps with per-weight rates; weights and bias."""
     weights, bias = np.zeros(width), 0.0
     seen, seen_bias = np.full(width, 1e-2), 1e-2
