@@ -13,7 +13,7 @@ from corpus_engine.session import scratch_path
 from corpus_engine.sources import articles as src
 from corpus_engine.sources import tables as tb
 
-LONG = "Some content here that is long enough to pass."
+LONG = "Rain fell on the valley for three days and nights."
 
 
 def articles(spark, *rows):
@@ -22,7 +22,7 @@ def articles(spark, *rows):
 
 def test_valid_records_pass(spark):
     rows = [(i, f"Article {i}", "NYT", None, None, "x" * 50) for i in range(100)]
-    rows.append((101, "Fed raises rates", "Reuters", "Jane", "2017-03-15", LONG))
+    rows.append((101, "Rain in the valley", "Reuters", "Jane", "2017-03-15", LONG))
     assert ql.validate_articles(articles(spark, *rows)).count() == 0
 
 
@@ -30,7 +30,7 @@ def test_each_broken_rule_is_reported(spark):
     df = articles(
         spark,
         (4, "   ", "CNN", None, None, LONG),
-        (5, "Valid title", "CNN", None, None, "Too short"),
+        (5, "Valid title", "CNN", None, None, "Rain."),
         (6, "Valid title", "", None, None, LONG),
         (7, "  ", "CNN", None, None, LONG),
         (None, "t", "p", None, None, LONG),

@@ -56,10 +56,10 @@ def test_penalty_means_what_c_says(separable):
 
 def test_two_class_toy(spark):
     texts = [
-        ("federal reserve raised interest rates quarter point", 0), ("stock market fell inflation concerns bond yield", 0),
-        ("gdp growth slowed recession fears unemployment rate", 0), ("central bank policy monetary stimulus economic", 0),
-        ("nfl touchdown game quarterback pass football", 1), ("basketball nba finals lakers score court game", 1),
-        ("baseball world series pitcher strike home run", 1), ("soccer world cup goal match team stadium", 1),
+        ("dough oven flour bake crust", 0), ("soup simmer onion garlic broth", 0),
+        ("roast pepper oven tray salt", 0), ("cake sugar butter bake frosting", 0),
+        ("engine torque gearbox clutch garage", 1), ("tyre wheel brake garage pedal", 1),
+        ("diesel engine piston valve fuel", 1), ("steering wheel axle bumper hood", 1),
     ]
     from corpus_engine.operators import features as ft
 
@@ -67,11 +67,11 @@ def test_two_class_toy(spark):
     vocab = ft.fit_vocabulary(df, 1, 1.0, None, (1, 1)).cache()
     vectors = ft.feature_vectors(ft.tfidf(df, vocab, (1, 1), False), df, vocab)
     model = md.train_logistic(df.select("id", "label_idx").join(vectors, "id"), C=1.0)
-    new = spark.createDataFrame([(1, "quarterback threw touchdown final quarter")], "id long, text_clean string")
+    new = spark.createDataFrame([(1, "the brake and clutch of the engine")], "id long, text_clean string")
     scored = md.predict(model, ft.feature_vectors(ft.tfidf(new, vocab, (1, 1), False), new, vocab)).first()
     assert scored.prediction == 1
     coef = md.coef_long(md.coef_table(spark, model, vocab)).filter("label_idx = 1")
-    assert coef.orderBy(F.desc("weight")).first().term in {"game", "world"}
+    assert coef.orderBy(F.desc("weight")).first().term in {"engine", "wheel", "garage"}
 
 
 def test_label_round_trip(spark):
@@ -180,8 +180,8 @@ def test_jobs_from_csv_to_scores(spark, tmp_path):
     runs = tb.list_runs(spark, store.path("runs"), "topic-classification")
     assert {r.model for r in runs.collect()} == set(comparison)
     new = spark.createDataFrame(
-        [(1, None, "The president signed the new tax reform bill into law today after a vote of the senate."),
-         (2, "Game day", "The quarterback threw a touchdown in the final game of the football season."),
+        [(1, None, "A senate vote sent the tax bill to the president this week."),
+         (2, "Game day", "One late touchdown decided the game for the quarterback and the season."),
          (3, "", "zzzz")],
         "id long, title string, content string",
     )
@@ -197,6 +197,6 @@ def test_jobs_from_csv_to_scores(spark, tmp_path):
     assert len(boosted.models) == len(info)
     folder = tmp_path / "texts"
     folder.mkdir()
-    (folder / "a.txt").write_text("Carbon emissions and ocean warming change the climate.")
+    (folder / "a.txt").write_text("The ocean warms as carbon emissions grow, and so does the climate.")
     scored = build.score_text_files(spark, store, str(folder)).collect()
     assert len(scored) == 1 and best[scored[0].topic_id] == "climate"
