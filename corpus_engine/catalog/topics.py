@@ -19,7 +19,7 @@ from corpus_engine.catalog.evaluation import LANGS
 from corpus_engine.catalog.text import FULL, weights
 from corpus_engine.operators import profile as pf
 from corpus_engine.operators import topics as tp
-from corpus_engine.operators.density import density_clusters
+from corpus_engine.operators.density import density_clusters, nearest_neighbours
 from corpus_engine.session import scratch_path, settled
 from corpus_engine.sources import tables as tb
 
@@ -128,7 +128,20 @@ def kmeans_topic_ids(spark, sf):
 def density_topic_ids(spark, sf):
     """Density clusters of the supplied vectors in five dimensions."""
     reduced = tp.reduce_dims(_labelled_vectors(spark, sf).select("id", "embedding"), k=5)
-    return density_clusters(reduced, min_cluster_size=20, min_pts=5, levels=12)
+    return density_clusters(reduced, min_cluster_size=20)
+
+
+@register(
+    "H3",
+    """WITH p AS (SELECT a.vec_id AS id, list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS d
+               FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
+    r AS (SELECT id, d, row_number() OVER (PARTITION BY id ORDER BY d) AS k FROM p)
+    SELECT id, round(d, 5) AS core FROM r WHERE k = 5""",
+)
+def core_distances(spark, sf):
+    """How far the fifth nearest other vector of every vector lies."""
+    near = nearest_neighbours(_labelled_vectors(spark, sf), 5)
+    return near.groupBy(F.col("src").alias("id")).agg(F.round(F.max("distance"), 5).alias("core"))
 
 
 @register("H1")
