@@ -138,7 +138,8 @@ def _candidates(docs: DataFrame, window: int, gram: int) -> DataFrame:
     texts = keyed.groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     found = settled(keyed.mapInArrow(_winnow(window, gram), _FOUND), "repeat-anchors")
     each = found.select("key", F.inline("anchors"))
-    twice = each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    # written, so that both sides of the join are dealt by hash anew and a hot anchor's part can be split
+    twice = settled(each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "repeat-hashes")
     own = each.join(twice, "hash").groupBy("key").agg(
         F.collect_set(F.struct("hash", "low", "count", "reach")).alias("anchors")
     )
