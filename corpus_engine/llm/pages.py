@@ -52,6 +52,11 @@ AROUND_WORDS = frozenset(
     "widgets toolbar pagination pager form search legal copyright disclaimer hidden".split()
 )
 MAIN_WORDS = frozenset("article content main post body entry story text".split())
+SHAPE_WORDS = frozenset(  # say where or how large a part is, not what it holds
+    "area bar block bottom box button buttons col column container group header inner item items left link links "
+    "list outer page panel primary right row secondary section site slot top wrap wrapper".split()
+)
+MARKED_SHARE = 1 / 3  # of a container's text: so much marked main text outside lets its word stand
 
 
 def _attributes(written: str) -> dict[str, str]:
@@ -64,16 +69,39 @@ def _step(tag: str, found: dict[str, str]) -> str:
     return ".".join([tag, *(DIGITS.sub("0", n) for n in names)])
 
 
+def _names(found: dict[str, str]) -> list[set[str]]:
+    """The words of each whole class or id."""
+    names = f"{found.get('class', '')} {found.get('id', '')}".split()
+    return [{w.lower() for w in WORD.findall(n)} for n in names]
+
+
 def _around(tag: str, found: dict[str, str], within: bool) -> bool:
-    """Whether an element holds what stands around a text and not the text."""
+    """Whether an element holds what stands around a text and not the text, whatever its classes are."""
     if tag in AROUND_TAGS or found.get("role", "").lower() in AROUND_ROLES or "hidden" in found:
         return True
     if found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower():
         return True
-    words = {w.lower() for w in WORD.findall(f"{found.get('class', '')} {found.get('id', '')}")}
-    if tag == "header" or "header" in words:
-        return not (within or words & MAIN_WORDS)
-    return bool(words & AROUND_WORDS) and tag not in ("html", "body", "main")
+    return tag == "header" and not (within or any(words & MAIN_WORDS for words in _names(found)))
+
+
+def _main(tag: str, found: dict[str, str]) -> bool:
+    """Whether an element is marked as the text: by its tag, or a class of such words alone."""
+    if tag in ("article", "main"):
+        return True
+    return tag not in ("html", "body") and any(w & MAIN_WORDS and w <= MAIN_WORDS | SHAPE_WORDS for w in _names(found))
+
+
+def _named_around(tag: str, found: dict[str, str], within: bool) -> bool:
+    """Whether a class names what stands around a text. All words of the class must fit, as in
+    ``cookie-notice`` or ``sidebar-left``; ``has-sidebar`` or ``comments-open`` tell of other elements."""
+    if tag in ("html", "body") or _main(tag, found):
+        return False
+    for words in _names(found):
+        if words & AROUND_WORDS and words <= AROUND_WORDS | SHAPE_WORDS | MAIN_WORDS:
+            return True
+        if "header" in words and words <= SHAPE_WORDS and not within:
+            return True
+    return False
 
 
 class Page:
@@ -82,10 +110,18 @@ class Page:
     def __init__(self, html: str | None):
         self.parent, self.path, self.around, self.tag = [-1], [""], [False], [""]
         self.main = [False]  # inside an article or main element
+        self.named, self.marked = [False], [False]  # a class names surroundings; inside what is marked as the text
         self.blocks: list[tuple[int, str]] = []
+        self.linked: list[bool] = []  # of each block
         self.good, self.bad = [0], [0]
         if html:
             self._read(html)
+        self._weigh()
+        for (at, text), linked in zip(self.blocks, self.linked, strict=True):
+            if self.around[at] or linked:
+                self.bad[at] += len(text)
+            else:
+                self.good[at] += len(text)
         for at in range(len(self.parent) - 1, 0, -1):
             self.good[self.parent[at]] += self.good[at]
             self.bad[self.parent[at]] += self.bad[at]
@@ -139,6 +175,8 @@ class Page:
         self.parent.append(above)
         self.path.append(f"{self.path[above]}/{_step(tag, found)}")
         self.around.append(self.around[above] or _around(tag, found, self.main[above]))
+        self.named.append(bool(found) and _named_around(tag, found, self.main[above]))
+        self.marked.append(self.marked[above] or _main(tag, found))
         self.main.append(self.main[above] or tag in ("article", "main"))
         self.tag.append(tag)
         self.good.append(0)
@@ -151,10 +189,32 @@ class Page:
         if not text:
             return
         self.blocks.append((at, text))
-        if self.around[at] or 2 * linked > len(raw):
-            self.bad[at] += len(text)
-        else:
-            self.good[at] += len(text)
+        self.linked.append(2 * linked > len(raw))
+
+    def _weigh(self) -> None:
+        """Take containers named as surroundings for such, but not for that name alone one with most
+        of the page's unlinked text: there must be a fair amount of text marked as main outside it."""
+        if not any(self.named):
+            return
+        size = len(self.parent)
+        free = [0] * size
+        for (at, text), linked in zip(self.blocks, self.linked, strict=True):
+            if not (self.around[at] or linked):
+                free[at] += len(text)
+        own = list(free)
+        for at in range(size - 1, 0, -1):
+            free[self.parent[at]] += free[at]
+        large = [self.named[at] and 2 * free[at] > free[0] for at in range(size)]
+        small = [False] * size  # inside a named container without most of the text
+        marked = [0] * size
+        for at in range(1, size):
+            small[at] = small[self.parent[at]] or (self.named[at] and not large[at])
+            marked[at] = own[at] if self.marked[at] and not small[at] else 0
+        for at in range(size - 1, 0, -1):
+            marked[self.parent[at]] += marked[at]
+        for at in range(1, size):
+            stands = self.named[at] and not (large[at] and marked[0] - marked[at] < MARKED_SHARE * free[at])
+            self.around[at] = self.around[at] or self.around[self.parent[at]] or stands
 
     def scores(self) -> dict[str, float]:
         """Score of each container path that is not around the text and holds some of it."""

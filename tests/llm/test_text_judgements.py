@@ -196,6 +196,23 @@ def test_pages_give_their_article_alone(spark):
     assert pages.extract(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "tags",
+    ["div class='content has-sidebar'", "article class='post category-legal'", "article class='hentry comments-open'",
+     "article class='form'", "div class='layout has-header'", "div class='related'", "section id='search'"],
+)
+def test_class_words_do_not_drop_the_article(tags):
+    body = "Long running text of the story goes on and on. " * 5
+    html = page(f"<{tags}><p>{body}</p><div class='share-buttons'>Share</div></{tags.split()[0]}><div class='sidebar-left'>Links and words</div>")
+    assert pages.Page(html).text([]) == body.strip()
+
+
+def test_long_comments_do_not_replace_the_article():
+    body, said = "Long running text of the story. " * 5, "I liked it a lot, dear reader. " * 8
+    html = page(f"<div class='post'><p>{body}</p></div><div id='comments'><p>{said}</p></div>")
+    assert pages.Page(html).text([]) == body.strip()
+
+
 @pytest.mark.parametrize("block", [8192, 40])
 def test_search_finds_nearly_all_neighbours(spark, block, monkeypatch):
     monkeypatch.setattr(rotated, "BASE_BLOCK", block)
