@@ -24,7 +24,7 @@ LEAST_SHARE = 0.5  # of the page's own best container, for a host path to be use
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|svg|math|iframe|object|title|select|button)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|textarea|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?][^>]*>",
     re.DOTALL | re.IGNORECASE,
@@ -37,6 +37,10 @@ BLOCKS = frozenset(
     "html head body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr blockquote "
     "pre figure figcaption address nav header footer aside form fieldset details summary dialog center hr menu".split()
 )
+# Elements within a line whose content is not text of the page; what math and object hold is.
+INSERTS = frozenset("svg button select iframe noscript template annotation annotation-xml".split())
+NESTED = frozenset(["svg", "template"])  # may hold their own kind
+INSERT = re.compile(r"<(?:svg|button|select|iframe|noscript|template|annotation)\b", re.IGNORECASE)
 SPACED = frozenset(["br", "td", "th", "wbr"])
 CLOSES = {  # an opening tag ends open elements of these kinds
     "li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "p"),
@@ -69,6 +73,40 @@ def _step(tag: str, found: dict[str, str]) -> str:
     return ".".join([tag, *(DIGITS.sub("0", n) for n in names)])
 
 
+def _inserts(html: str) -> dict[int, int]:
+    """Start and end of the inserts that have an end tag within the element that holds them."""
+    found: dict[int, int] = {}
+    if not INSERT.search(html):
+        return found
+    opened: list[tuple[str, int, dict[str, int]]] = []  # kind, start, open blocks inside
+    for m in TAG.finditer(html):
+        tag = m[3] and m[3].lower()
+        if tag in INSERTS:
+            last = next((k for k in range(len(opened) - 1, -1, -1) if opened[k][0] == tag), None)
+            if m[2] and last is not None:
+                found[opened[last][1]] = m.end()
+            if last is not None and (m[2] or tag not in NESTED):
+                del opened[last:]
+            if not m[2] and not _complete(tag, m[4]):
+                opened.append((tag, m.start(), {}))
+        elif opened and tag in BLOCKS:
+            if not m[2]:
+                inside = opened[-1][2]
+                inside[tag] = inside.get(tag, 0) + 1
+                continue
+            while opened:
+                inside = opened[-1][2]
+                if inside.get(tag):
+                    inside[tag] -= 1
+                    break
+                opened.pop()
+    return found
+
+
+def _complete(tag: str, written: str) -> bool:
+    return tag == "svg" and written.endswith("/")
+
+
 def _names(found: dict[str, str]) -> list[set[str]]:
     """The words of each whole class or id."""
     names = f"{found.get('class', '')} {found.get('id', '')}".split()
@@ -130,8 +168,13 @@ class Page:
         stack: list[tuple[str, int]] = [("", 0)]
         parts: list[str] = []
         linked, link, at = 0, False, 0
+        inserts = _inserts(html)
+        until, open_ended = 0, False  # end of an insert; inside one without an end tag
         for m in TAG.finditer(html):
-            if m.start() > at:
+            if m.start() < until:
+                at = until
+                continue
+            if m.start() > at and not open_ended:
                 parts.append(html[at : m.start()])
                 linked += (m.start() - at) * link
             at = m.end()
@@ -139,6 +182,12 @@ class Page:
             if tag is None:
                 continue
             tag = tag.lower()
+            if tag in INSERTS:
+                if m.start() in inserts:
+                    until = at = inserts[m.start()]
+                elif not m[2] and not m[4].endswith("/"):
+                    open_ended = True
+                continue
             if tag == "a":
                 link = not m[2]
                 continue
@@ -149,7 +198,7 @@ class Page:
             if parts:
                 self._flush(parts, linked, stack[-1][1])
                 parts = []
-            linked, link = 0, False
+            linked, link, open_ended = 0, False, False
             if m[2]:
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][0] == tag:
@@ -164,7 +213,7 @@ class Page:
                     if stack[k][0] in SCOPE:
                         break
                 self._open(tag, m[4], stack)
-        if at < len(html):
+        if at < len(html) and not open_ended:
             parts.append(html[at:])
         if parts:
             self._flush(parts, linked, stack[-1][1])

@@ -213,6 +213,26 @@ def test_long_comments_do_not_replace_the_article():
     assert pages.Page(html).text([]) == body.strip()
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<p>first <svg class='i'/> second</p><p>third</p>", "first second\n\nthird"),
+        ("<p>first <svg><title>icon</title><text>x</text></svg> second</p><p>third</p>", "first second\n\nthird"),
+        ("<p>a <svg><g><svg>x</svg></g>y</svg> b</p>", "a b"),
+        ("<p>where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds, <math/> too</p><p>end</p>", "where x=2 holds, too\n\nend"),
+        ("<p>one <button>Share</p><p>two</p><p>three</p>", "one\n\ntwo\n\nthree"),
+        ("<p>one <button><div>Share</div></button> more</p><p>two</p>", "one more\n\ntwo"),
+        ("<select><option>A<p>one</p><p>two</p><select><option>B</select><p>three</p>", "one\n\ntwo\n\nthree"),
+        ("<div><button>Share<p>one</p></div><p>two</p></button><p>three</p>", "one\n\ntwo\n\nthree"),
+        ("<p>one</p><object data='x'><p>fallback</p></object><iframe>no</iframe><p>two</p>", "one\n\nfallback\n\ntwo"),
+        ("<p>one</p><noscript><p>no</p></noscript><template><p>no</p></template><p>two <iframe src='x'/> end</p>", "one\n\ntwo end"),
+        ("<p>one</p><script>var a = '<p>x</p>';", "one"),
+    ],
+)
+def test_inserts_end_where_they_end(html, text):
+    assert pages.Page(f"<article>{html}</article>" if "script" not in html else html).text([]) == text
+
+
 @pytest.mark.parametrize("block", [8192, 40])
 def test_search_finds_nearly_all_neighbours(spark, block, monkeypatch):
     monkeypatch.setattr(rotated, "BASE_BLOCK", block)
