@@ -20,7 +20,8 @@ from corpus_engine.session import settled
 
 PATHS_PER_HOST = 8
 NEAR_BEST = 0.8  # containers with this share of a page's best score get its vote
-LEAST_SHARE = 0.5  # of the page's own best container, for a host path to be used
+LEAST_SHARE = 0.95  # of the unlinked text of the page's own best container, for a host path to be used
+LINE = 80  # a host path must not leave out a block of the best container as long as this
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -276,22 +277,32 @@ class Page:
         return out
 
     def text(self, paths: list[str]) -> str:
-        """Blocks of the first path that holds a fair share of the text; of the page's best one else."""
-        held: dict[str, int] = {}
-        for at in range(1, len(self.parent)):
-            if not self.around[at]:
-                held[self.path[at]] = held.get(self.path[at], 0) + self.good[at]
+        """Blocks of the first path that keeps nearly all unlinked text of the page's best container
+        and leaves out short lines at most; of the best container if there is none."""
         own = self.scores()
         if not own:
             chosen = ""
         else:
             best = max(own, key=lambda p: (own[p], len(p), p))
-            fair = LEAST_SHARE * held[best]
-            chosen = next((p for p in paths if held.get(p, 0) >= max(fair, 1)), best)
-        inside = [chosen == ""] * len(self.parent)
+            running = [(at, len(t)) for (at, t), linked in zip(self.blocks, self.linked, strict=True) if not linked]
+            within = self._inside(best)
+            running = [(at, size) for at, size in running if within[at]]
+            known = set(self.path)
+            chosen = next((p for p in paths if p in known and self._keeps(p, running)), best)
+        inside = self._inside(chosen)
+        return "\n\n".join(t for at, t in self.blocks if inside[at])
+
+    def _inside(self, path: str) -> list[bool]:
+        """Which containers are in one of this path and not around the text."""
+        inside = [path == ""] * len(self.parent)
         for at in range(1, len(self.parent)):
-            inside[at] = inside[self.parent[at]] or self.path[at] == chosen
-        return "\n\n".join(t for at, t in self.blocks if inside[at] and not self.around[at])
+            inside[at] = inside[self.parent[at]] or self.path[at] == path
+        return [i and not a for i, a in zip(inside, self.around, strict=True)]
+
+    def _keeps(self, path: str, running: list[tuple[int, int]]) -> bool:
+        inside = self._inside(path)
+        out = [size for at, size in running if not inside[at]]
+        return max(out, default=0) < LINE and sum(out) <= (1 - LEAST_SHARE) * sum(size for _, size in running)
 
 
 def _host(url) -> F.Column:

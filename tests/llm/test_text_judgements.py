@@ -233,6 +233,19 @@ def test_inserts_end_where_they_end(html, text):
     assert pages.Page(f"<article>{html}</article>" if "script" not in html else html).text([]) == text
 
 
+def test_an_article_in_two_parts_is_kept_whole(spark):
+    part = "Long running text of the story, part {0}, goes on and on. " * 6
+    usual = f"<div class='wrap'><div class='story'><p>{part.format(1)}</p></div><div class='bar'><p><a href='#'>{'Share it here ' * 20}</a></p></div></div>"
+    apart = f"<div class='wrap'><div class='story'><p>{part.format(1)}</p></div><div class='story-more'><p>{part.format(2)}</p></div></div>"
+    tail = f"<div class='wrap'><div class='story'><p>{part.format(1) * 9}</p></div><div class='story-more'><p>{part.format(2)[:140]}</p></div></div>"
+    rows = [(k, "http://a.example.org", page(usual)) for k in range(9)]
+    rows += [(10, "http://a.example.org", page(apart)), (11, "http://a.example.org", page(tail))]
+    got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == part.format(1).strip() for k in range(9))
+    assert got[10] == part.format(1).strip() + "\n\n" + part.format(2).strip()
+    assert got[11].endswith(part.format(2)[:140].strip())
+
+
 @pytest.mark.parametrize("block", [8192, 40])
 def test_search_finds_nearly_all_neighbours(spark, block, monkeypatch):
     monkeypatch.setattr(rotated, "BASE_BLOCK", block)
