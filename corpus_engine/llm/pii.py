@@ -3,8 +3,9 @@
 The plain patterns give seeds. Each seed's two words on the left are a lexical pattern. Patterns
 also meet other tokens that look like identifiers. On the graph of patterns and values Spark
 scores both in turns: a pattern is as good as the values it meets, a value as good as its best
-pattern. Values met by patterns of high confidence are added. All counts are over distinct values
-of all documents, so copies of a document add nothing.
+pattern. Values met by patterns of high confidence become seeds themselves and give new patterns,
+until no pattern and no value comes in. All counts are over distinct values of all documents, so
+copies of a document add nothing.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ MIN_SEEDS = 5  # distinct seed values that a pattern must meet
 MIN_CONFIDENCE = 0.9
 PRIOR = 0.1  # values of unknown worth added to each pattern's count
 MIN_DIGITS = 4
+COMMON = 4  # values of so many letters and digits or fewer, as years, are often no identifiers
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -84,11 +86,14 @@ def _context(text: str, start: int) -> str | None:
     return shape if len(words) == 2 and any(map(str.isalpha, shape)) else None
 
 
-def candidates(text: str | None, base: list[tuple[str, int, int]]) -> list[tuple[int, int, str, str, bool]]:
-    """``start, end, pattern, value, is_seed`` of seeds, and of other tokens with an @ or some digits."""
+def candidates(text: str | None, base: list[tuple[str, int, int]]) -> list[tuple[int, int, str | None, str, bool]]:
+    """``start, end, pattern, value, is_seed`` of seeds, and of other tokens with an @ or some digits.
+
+    The pattern is None where there are not two words, or no letters, on the left.
+    """
     if not text or not (base or "@" in text or DIGIT.search(text)):
         return []
-    out = [(a, b, p, text[a:b], True) for _, a, b in base if (p := _context(text, a)) is not None]
+    out = [(a, b, _context(text, a), text[a:b], True) for _, a, b in base]
     ranges = sorted((a, b) for _, a, b in base)
     at = 0
     for m in re.finditer(r"\S+", text):
@@ -100,8 +105,8 @@ def candidates(text: str | None, base: list[tuple[str, int, int]]) -> list[tuple
         while at < len(ranges) and ranges[at][1] <= start:
             at += 1
         free = at == len(ranges) or ranges[at][0] >= start + len(core)
-        if core and free and (p := _context(text, start)) is not None:
-            out.append((start, start + len(core), p, core, False))
+        if core and free:
+            out.append((start, start + len(core), _context(text, start), core, False))
     return out
 
 
@@ -147,7 +152,7 @@ def score(edges: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS) ->
     stay out, and so do edges of values that are only met by such patterns.
     """
     strong = edges.groupBy("pattern").agg(F.sum(F.col("seed").cast("long")).alias("seeds"))
-    strong = strong.where(F.col("seeds") >= min_seeds).select("pattern")
+    strong = settled(strong.where(F.col("seeds") >= min_seeds).select("pattern"), "pii-strong")
     edges = settled(edges.join(strong, "pattern"), "pii-edges")
     worth = edges.select("value", F.col("seed").cast("double").alias("worth")).groupBy("value").agg(
         F.max("worth").alias("worth")
@@ -169,12 +174,47 @@ def score(edges: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS) ->
     return patterns
 
 
+def bootstrap(edges: DataFrame, min_confidence: float = MIN_CONFIDENCE, **bounds: int) -> tuple[DataFrame, DataFrame]:
+    """``pattern`` of high confidence and ``value`` promoted, from edges ``pattern, value, seed``.
+
+    Patterns are scored with the seeds, the values that good ones meet become seeds, and all are
+    scored again until no value comes in. Seeds only grow, and so do all worths: it ends. A value
+    of ``COMMON`` characters or fewer is promoted only if good patterns are half of those it stands
+    in; else it is found where a good pattern meets it, and not elsewhere.
+    """
+    edges = settled(edges, "pii-graph")
+    while True:
+        scored = score(edges, **bounds)
+        good = settled(scored.where(F.col("confidence") >= min_confidence).select("pattern"), "pii-good")
+        met = edges.join(good.withColumn("good", F.lit(1)), "pattern", "left").groupBy("value").agg(
+            F.max("seed").alias("seed"), F.count("good").alias("goods"), F.count("*").alias("patterns")
+        )
+        common = F.length(F.regexp_replace("value", "[^\\p{L}\\p{N}@]", "")) <= COMMON
+        common = common & ~F.contains("value", F.lit("@")) & (2 * F.col("goods") < F.col("patterns"))
+        new = settled(met.where(~F.col("seed") & (F.col("goods") > 0) & ~common).select("value"), "pii-new")
+        if new.isEmpty():
+            break
+        flagged = edges.join(new.withColumn("new", F.lit(True)), "value", "left")
+        edges = settled(
+            flagged.select("pattern", "value", (F.col("seed") | F.col("new").isNotNull()).alias("seed"), "base"), "pii-graph"
+        )
+    return good, edges.where(F.col("seed") & ~F.col("base")).select("value").distinct()
+
+
 def discover(scanned: DataFrame, min_confidence: float = MIN_CONFIDENCE, **bounds: int) -> DataFrame:
-    """``doc_id, text_hash, added``: spans of kind ``id`` that patterns of high confidence find."""
+    """``doc_id, text_hash, added``: spans of kind ``id`` that patterns of high confidence find, and
+    all other occurrences of the values promoted."""
     met = scanned.select("doc_id", "text_hash", F.inline("met"))
-    edges = met.groupBy("pattern", "value").agg(F.max("seed").alias("seed"))
-    good = score(edges, **bounds).where(F.col("confidence") >= min_confidence).select("pattern")
-    found = met.where(~F.col("seed")).join(good, "pattern")
+    base = met.groupBy("value").agg(F.max("seed").alias("seed"))
+    base = settled(base.where("seed").select("value").distinct(), "pii-seeds").withColumn("base", F.lit(True))
+    edges = met.where(F.col("pattern").isNotNull()).select("pattern", "value").distinct().join(base, "value", "left")
+    edges = edges.select("pattern", "value", F.col("base").isNotNull().alias("seed"), F.col("base").isNotNull().alias("base"))
+    good, promoted = bootstrap(edges, min_confidence, **bounds)
+    rest = met.where(~F.col("seed"))
+    promoted = settled(promoted, "pii-promoted")
+    found = rest.join(good, "pattern", "left_semi").select("doc_id", "text_hash", "start", "end").unionByName(
+        rest.join(promoted, "value", "left_semi").select("doc_id", "text_hash", "start", "end")
+    )
     span = F.struct(F.lit("id").alias("kind"), "start", "end")
     added = found.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set(span)).alias("added"))
     return settled(added, "pii-added")

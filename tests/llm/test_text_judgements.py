@@ -170,6 +170,21 @@ def test_contexts_discover_identifiers(spark):
     assert pii.find(docs.limit(0)).count() == 0
 
 
+def test_discovered_values_give_new_patterns_and_are_found_everywhere(spark):
+    rows = [(i, f"note {i} my mail: u{i}@example.com end") for i in range(60)]
+    rows += [(100 + i, f"note my mail: {7100000 + i} end") for i in range(6)]  # met by the first pattern
+    rows += [(200 + i, f"with passport no {7100000 + i} here") for i in range(6)]  # the same ones elsewhere
+    rows += [(300 + i, f"with passport no {8200000 + i} here") for i in range(3)]  # met by the second pattern
+    rows += [(400, "8200001"), (401, "stands at 8200002 here")] + [(500 + i, f"the order no {9300000 + i} end") for i in range(30)]
+    rows += [(600, "note my mail: 2019 end")] + [(610 + i, f"back in {w} of 2019 end") for i, w in enumerate("abc")]
+    found = pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got, text = {r.doc_id: r.added for r in found}, dict(rows)
+    assert {i for i, spans in got.items() if spans} == {i for i in text if 100 <= i < 500 or i == 600}
+    assert {text[i][s.start : s.end] for i, spans in got.items() for s in spans} == {
+        *(str(7100000 + i) for i in range(6)), *(str(8200000 + i) for i in range(3)), "2019"
+    }
+
+
 ARTICLE = "<p>{0} long running text of the story goes on &amp; on,\n with <a href='#'>one</a>&nbsp;link.</p><p>More {0} text here<br>and here.</p>"
 AROUND = "<nav><ul><li><a href='/'>Home</a></li></ul></nav><div class='cookie-notice'>We use cookies</div>"
 
