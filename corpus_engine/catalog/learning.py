@@ -208,10 +208,6 @@ def attribution_totals(spark, sf):
     return out.withColumns({c: F.round(c, 5) for c in ("score", "base", "total")})
 
 
-# Rounds of the registered query on the boosted trees. The operator's default is 100; every round
-# is some Spark jobs per class, which is out of proportion for a check on a small table.
-BOOSTED_ROUNDS = 5
-
 # --- trained models ------------------------------------------------------------------------------
 
 
@@ -277,7 +273,7 @@ def class_probabilities(spark, sf):
 def boosted_scores(spark, sf):
     """Boosted trees against the linear classifier."""
     t = classifier(spark, sf)
-    booster = md.train_boosted(t.train, max_iter=BOOSTED_ROUNDS)
+    booster = md.train_boosted(t.train)
     sides = [
         md.predict(m, t.test).select(F.lit(name).alias("model"), F.col("label_idx").alias("label"), "prediction")
         for name, m in (("logistic_regression", t.model), ("boosted_trees", booster))
