@@ -10,6 +10,7 @@ copies of a document add nothing.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -26,7 +27,8 @@ ROUNDS = 3
 MIN_SEEDS = 5  # distinct seed values that a pattern must meet
 MIN_CONFIDENCE = 0.9
 PRIOR = 0.1  # values of unknown worth added to each pattern's count
-MIN_DIGITS = 4
+RUN_CHARS = 34  # letters and digits of groups joined to one identifier, as the longest account numbers have
+LONG_WORD = 80  # longer words stand in patterns by a digest
 COMMON = 4  # values of so many letters and digits or fewer, as years, are often no identifiers
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -79,37 +81,118 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def _context(text: str, start: int) -> str | None:
-    """The two words on the left, lower case, digits as 0; None where there are fewer, or no letters."""
-    words = text[max(0, start - 80) : start].lower().split()[-2:]
-    shape = DIGIT.sub("0", " ".join(words))
-    return shape if len(words) == 2 and any(map(str.isalpha, shape)) else None
+class _Left:
+    """The words on the left of places in a text; long words are read once, however many places there are."""
+
+    def __init__(self, text: str, tokens: list[tuple[int, int]]):
+        self.text, self.tokens = text, tokens
+        self.long: dict[int, str] = {}
+        self.open = (-1, 0, False, hashlib.blake2b(digest_size=16))  # token, end, letters and digest of what was read of it
+
+    def _prefix(self, at: int, end: int) -> str:
+        """Lower case, digits as 0, of token ``at`` up to ``end``; a digest of it where it is long."""
+        begin = self.tokens[at][0]
+        if end - begin <= LONG_WORD:
+            return DIGIT.sub("0", self.text[begin:end].lower())
+        token, upto, letters, digest = self.open
+        if token != at or upto > end:
+            upto, letters, digest = begin, False, hashlib.blake2b(digest_size=16)
+        more = DIGIT.sub("0", self.text[upto:end].lower())
+        digest.update(more.encode("utf-8", "surrogatepass"))
+        letters = letters or any(map(str.isalpha, more))
+        self.open = at, end, letters, digest
+        return f"{'a' if letters else ''}#{int(digest.hexdigest(), 16)}"
+
+    def _word(self, at: int) -> str:
+        a, b = self.tokens[at]
+        if b - a <= LONG_WORD:
+            return DIGIT.sub("0", self.text[a:b].lower())
+        if at not in self.long:
+            self.long[at] = self._prefix(at, b)
+        return self.long[at]
+
+    def context(self, at: int, start: int) -> str | None:
+        """The two words left of ``start`` in token ``at``; None where there are fewer, or no letters."""
+        words = [self._prefix(at, start)] if start > self.tokens[at][0] else []
+        if at + len(words) < 2:
+            return None
+        words = [*map(self._word, range(at - 2 + len(words), at)), *words]
+        shape = " ".join(words)
+        return shape if any(map(str.isalpha, shape)) else None
 
 
 def candidates(text: str | None, base: list[tuple[str, int, int]]) -> list[tuple[int, int, str | None, str, bool]]:
-    """``start, end, pattern, value, is_seed`` of seeds, and of other tokens with an @ or some digits.
+    """``start, end, pattern, value, is_seed`` of seeds, and of other tokens with an @ or a digit.
 
-    The pattern is None where there are not two words, or no letters, on the left.
+    Groups of letters and digits that single blanks separate are joined: digits, short words with
+    digits, and between them up to four capitals. The joined groups have the pattern of their first
+    one, unless they are longer than any identifier; parts of them are given without a pattern, for
+    values that are known from elsewhere. The pattern is None too where there are not two words, or
+    no letters, on the left.
     """
     if not text or not (base or "@" in text or DIGIT.search(text)):
         return []
-    out = [(a, b, _context(text, a), text[a:b], True) for _, a, b in base]
+    tokens = [m.span() for m in re.finditer(r"\S+", text)]
+    left = _Left(text, tokens)
+    out, at = [], 0
+    for _, a, b in base:
+        while tokens[at][1] <= a:
+            at += 1
+        out.append((a, b, left.context(at, a), text[a:b], True))
     ranges = sorted((a, b) for _, a, b in base)
     at = 0
-    for m in re.finditer(r"\S+", text):
-        token = m[0]
-        if token.isalpha() or not ("@" in token or len(DIGIT.findall(token)) >= MIN_DIGITS):
+    run: list[tuple[int, int, int]] = []  # start, end and token of groups that may belong together
+    for k, (a, b) in enumerate(tokens):
+        token = text[a:b]
+        known = not token.isalpha() and ("@" in token or DIGIT.search(token) is not None)
+        if not (known or run):
             continue
         core = token.strip(EDGES)
-        start = m.start() + len(token) - len(token.lstrip(EDGES))
+        start = a + len(token) - len(token.lstrip(EDGES))
+        end = start + len(core)
         while at < len(ranges) and ranges[at][1] <= start:
             at += 1
-        free = at == len(ranges) or ranges[at][0] >= start + len(core)
-        if core and free:
-            out.append((start, start + len(core), _context(text, start), core, False))
+        free = at == len(ranges) or ranges[at][0] >= end
+        if not (core and free and (known or CAPITALS.fullmatch(token))):
+            _close(left, run, out)
+            continue
+        grouped = not known or GROUP.fullmatch(core) is not None
+        opened = token[: start - a] == "(" and token[end - a :] in (")", "")  # as in (555) 123
+        last = run[-1] if run else None
+        if last and not (grouped and a == tokens[last[2]][1] + 1 and text[a - 1] == " " and (a == start or opened)):
+            _close(left, run, out)
+        if known or run:
+            run.append((start, end, k))
+        if known and not (grouped and (end == b or opened)):
+            _close(left, run, out)
+    _close(left, run, out)
     return out
 
 
+CAPITALS = re.compile(r"[A-Z]{1,4}")
+GROUP = re.compile(r"[0-9]{1,19}|[A-Za-z0-9]{1,12}|[A-Za-z0-9]{1,12}(?:-[A-Za-z0-9]{1,12})+")
+
+
+def _close(left: _Left, run: list[tuple[int, int, int]], out: list) -> None:
+    """Candidates of a run of groups, which is emptied."""
+    text = left.text
+    while run and CAPITALS.fullmatch(text, run[-1][0], run[-1][1]):
+        run.pop()  # capitals stand between groups only
+    if not run:
+        return
+    chars = sum(end - start for start, end, _ in run)
+    whole = len(run) == 1 or chars <= RUN_CHARS
+    for i, (start, _, k) in enumerate(run):
+        for j in range(i, len(run) if whole else i + 1):
+            end = run[j][1]
+            if CAPITALS.fullmatch(text, start, run[i][1]) or CAPITALS.fullmatch(text, run[j][0], end):
+                continue
+            own = j == len(run) - 1 and i == 0 if whole else True
+            pattern = left.context(k, start) if own else None
+            out.append((start, end, pattern, text[start:end], False))
+    run.clear()
+
+
 SPAN = "array<struct<kind: string, start: int, end: int>>"
 SCANNED = (
     f"doc_id long, text_hash long, base {SPAN}, "

@@ -185,6 +185,31 @@ def test_discovered_values_give_new_patterns_and_are_found_everywhere(spark):
     }
 
 
+def test_candidates_span_joined_groups():
+    def found(text):
+        return {(v, p) for _, _, p, v, seed in pii.candidates(text, pii.base_spans(text)) if p and not seed}
+
+    assert found("the phone number is 555 123 4567, and") == {("555 123 4567", "number is")}
+    assert found("the phone number is (555) 123-4567 and") == {("555) 123-4567", "is (")}
+    assert found("pay to IBAN DE89 3704 0044 0532 now") == {("DE89 3704 0044 0532", "to iban")}
+    assert found("pay to iban GB29 NWBK 6016 1331 9268 19 NOW it") == {("GB29 NWBK 6016 1331 9268 19", "to iban")}
+    assert found("his employee id AB-123. Then") == {("AB-123", "employee id")}
+    assert found("in the year 2019, 15 people") == {("2019", "the year"), ("15", "year 0000,")}
+    assert found("employee id is" + " " * 200 + "AB-123") == {("AB-123", "id is")}
+    long = [found(f"the {'x' * 300}{end} AB-123") for end in ("y", "y", "z")]
+    assert long[0] == long[1] != long[2] and all(long)
+    parts = {v for _, _, p, v, _ in pii.candidates("at 3 555 123 4567", [])}
+    assert {"3", "555 123 4567", "3 555 123 4567"} <= parts
+    assert len(pii.candidates("word of " + "12345 " * 1000, [])) == 1000
+
+
+def test_grouped_identifiers_are_found_whole(spark):
+    rows = [(i, f"note {i} my number is u{i}@example.com end") for i in range(60)]
+    rows += [(100, "note my number is 555 123 4567 end"), (101, "note my number is AB-123 end"), (102, "call 555 123 4567")]
+    text = {r.doc_id: r.text for r in pii.redact(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [text[k] for k in (100, 101, 102)] == ["note my number is <id> end"] * 2 + ["call <id>"]
+
+
 ARTICLE = "<p>{0} long running text of the story goes on &amp; on,\n with <a href='#'>one</a>&nbsp;link.</p><p>More {0} text here<br>and here.</p>"
 AROUND = "<nav><ul><li><a href='/'>Home</a></li></ul></nav><div class='cookie-notice'>We use cookies</div>"
 
