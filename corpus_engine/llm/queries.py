@@ -6,7 +6,8 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpus_engine.llm import langid, licenses, packing, pages, pieces, pii, quality, repeats, rotated, simhash
+from corpus_engine.llm import langid, licenses, packing, pages, pieces, pii, quality, repeats, rotated, secret_scan, simhash
+from corpus_engine.llm import secret_sql
 from corpus_engine.llm.base import REGISTRY, Entry, register, table
 
 
@@ -136,6 +137,21 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(secret_sql.STATEMENT)
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents: plain patterns and strings of high entropy."""
+    found = secret_scan.find(table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [
+        (F.size("base") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in secret_scan.BASE
+    ]
+    return found.select(
+        "doc_id", *counts,
+        F.sha2(secret_scan.written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.written(secret_scan.in_order(F.concat("base", "added"))).alias("spans"),
+    )
+
+
 @register(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents through the whole pipeline."""
