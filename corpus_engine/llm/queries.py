@@ -6,7 +6,9 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpus_engine.llm import langid, licenses, packing, pages, pieces, pii, quality, repeats, rotated, secret_scan, simhash
+from corpus_engine.llm import (
+    langid, licenses, negatives, packing, pages, pieces, pii, quality, repeats, rotated, secret_scan, simhash,
+)
 from corpus_engine.llm import secret_sql
 from corpus_engine.llm.base import REGISTRY, Entry, register, table
 
@@ -137,6 +139,30 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    """
+WITH shown AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      embedding::DOUBLE[] AS x FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+whole AS (SELECT r, vec_id, label, list_transform(x, lambda e: floor(256 * e)) AS v FROM shown
+          WHERE len(list_filter(x, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+pairs AS (SELECT a.r AS a, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+          FROM whole a JOIN whole b ON a.vec_id % 50 = 0 AND a.r <> b.r),
+positives AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) AS place FROM pairs WHERE same)
+              WHERE place <= 5),
+found AS (SELECT p.anchor_id, p.vec_id AS positive_id,
+                 row_number() OVER (PARTITION BY p.a, p.place ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank,
+                 n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+          FROM positives p JOIN pairs n ON n.a = p.a AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+SELECT * FROM found WHERE rank <= 3"""
+)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of five positives of every fiftieth vector."""
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"), "embedding"
+    )
+    return negatives.mine(rows, rows.where(F.col("vec_id") % 50 == 0))
+
+
 @register(secret_sql.STATEMENT)
 def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents: plain patterns and strings of high entropy."""
