@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpus_engine.llm import (
-    langid, licenses, negatives, packing, pages, pieces, pii, quality, repeats, rotated, secret_scan, simhash,
+    alignment, langid, licenses, negatives, packing, pages, pieces, pii, quality, repeats, rotated, secret_scan, simhash,
 )
 from corpus_engine.llm import secret_sql
 from corpus_engine.llm.base import REGISTRY, Entry, register, table
@@ -163,6 +163,13 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(rows, rows.where(F.col("vec_id") % 50 == 0))
 
 
+@register()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of the tokens of two tokenizers in all documents, with the pairs' counts."""
+    found, _ = alignment.align(table(spark, sf_dir, "documents"), whole=False)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 @register(secret_sql.STATEMENT)
 def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents: plain patterns and strings of high entropy."""
