@@ -85,64 +85,99 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def _exchange(low: list[int], high: list[int], room: int, size: list[int]) -> bool:
-    """Make the fuller bin fuller by one move, one-for-one or two-for-one exchange; True if one was found."""
+def lower_bound(lengths: list[int], capacity: int) -> int:
+    """Bins that any packing needs: longer items than the rest of a bin take one each, and what of the
+    shorter ones finds no room beside those of more than half a bin takes more. The best over all borders."""
+    size = np.sort(np.asarray(lengths, dtype=np.int64))
+    if not len(size):
+        return 0
+    total = np.concatenate([[0], np.cumsum(size)])
+    half = int(np.searchsorted(size, capacity // 2, side="right"))
+    border = np.unique(np.concatenate([[0], size[:half]]))
+    long_from = np.searchsorted(size, capacity - border, side="right")
+    small_from = np.minimum(np.searchsorted(size, border, side="left"), half)
+    middle = np.maximum(long_from - half, 0)
+    room = middle * capacity - (total[np.maximum(long_from, half)] - total[half])
+    rest = np.maximum(total[half] - total[small_from] - room, 0)
+    return int((len(size) - half + -(-rest // capacity)).max())
+
+
+def _two(sizes: dict[int, list[int]]) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Sums of two items of a bin, each once, in order, and the sizes they come from."""
+    kinds = sorted(sizes)
+    found = {a + b: (a, b) for i, a in enumerate(kinds) for b in kinds[: i + 1] if a != b or len(sizes[a]) > 1}
+    sums = sorted(found)
+    return np.array(sums, dtype=np.int64), [found[s] for s in sums]
+
+
+def _exchange(low: dict[int, list[int]], high: dict[int, list[int]], room: int) -> bool:
+    """Make the fuller bin fuller by one move, one-for-one or two-for-one exchange; True if one was found.
+
+    Bins are items by size: what an exchange gains depends on sizes alone, and a bin has few of them,
+    however many items it holds.
+    """
     best, change = 0, None
-    for x in low:
-        if best < size[x] <= room:
-            best, change = size[x], ((x,), ())
-    for x in low:
-        for y in high:
-            if best < size[x] - size[y] <= room:
-                best, change = size[x] - size[y], ((x,), (y,))
+    mine, theirs = sorted(low), sorted(high)
+    for x in mine:
+        if best < x <= room:
+            best, change = x, ((x,), ())
+    for x in mine:
+        for y in theirs:
+            if best < x - y <= room:
+                best, change = x - y, ((x,), (y,))
     if best < room:
-        pairs = sorted((size[a] + size[b], a, b) for i, a in enumerate(high) for b in high[:i])
-        sums = np.array([p[0] for p in pairs])
-        for x in low:  # one against two
-            at = int(np.searchsorted(sums, size[x] - room)) if len(pairs) else 0
-            if at < len(pairs) and best < size[x] - pairs[at][0] <= room:
-                best, change = size[x] - pairs[at][0], ((x,), pairs[at][1:])
-        for i, a in enumerate(low):  # two against one
-            for b in low[:i]:
-                for y in high:
-                    if best < size[a] + size[b] - size[y] <= room:
-                        best, change = size[a] + size[b] - size[y], ((a, b), (y,))
+        sums, pairs = _two(high)
+        for x in mine:  # one against two
+            at = int(np.searchsorted(sums, x - room))
+            if at < len(sums) and best < x - int(sums[at]) <= room:
+                best, change = x - int(sums[at]), ((x,), pairs[at])
+        sums, pairs = _two(low)
+        for y in theirs:  # two against one
+            at = int(np.searchsorted(sums, room + y, side="right")) - 1
+            if at >= 0 and best < int(sums[at]) - y <= room:
+                best, change = int(sums[at]) - y, (pairs[at], (y,))
     if change is None:
         return False
-    for x in change[0]:
-        low.remove(x)
-    for y in change[1]:
-        high.remove(y)
-    low.extend(change[1])
-    high.extend(change[0])
+    for source, target, moved in ((low, high, change[0]), (high, low, change[1])):
+        for kind in moved:
+            item = source[kind].pop()
+            if not source[kind]:
+                del source[kind]
+            target.setdefault(kind, []).append(item)
     return True
 
 
 def improve(bins: list[list[int]], size: list[int], capacity: int, targets: int = TARGETS) -> list[list[int]]:
     """Empty bins by exchanges. Each exchange moves length from an emptier to a fuller bin, so the sum
-    of squared fills only grows. Ends at the least possible count of bins, or when none of the
-    ``targets`` emptiest bins can be emptied further."""
-    bins = [b for b in bins if b]
-    least = -(-sum(size) // capacity)
-    while len(bins) > least:
-        fill = {id(b): sum(size[i] for i in b) for b in bins}
-        bins.sort(key=lambda b: fill[id(b)])
-        emptied = False
-        for low in bins[:targets]:
-            for high in sorted((b for b in bins if b is not low), key=lambda b: fill[id(b)]):
-                while low and fill[id(low)] <= fill[id(high)] < capacity:
-                    if not _exchange(low, high, capacity - fill[id(high)], size):
-                        break
-                    fill[id(low)], fill[id(high)] = (sum(size[i] for i in b) for b in (low, high))
-                if not low:
+    of squared fills only grows. Ends at ``lower_bound``, or when none of the ``targets`` emptiest bins
+    has an exchange left."""
+    least = lower_bound(size, capacity)
+    held = []
+    for items in bins:
+        if items:
+            by_size: dict[int, list[int]] = {}
+            for i in items:
+                by_size.setdefault(size[i], []).append(i)
+            held.append([sum(size[i] for i in items), by_size])
+    while len(held) > least:
+        held.sort(key=lambda b: b[0])
+        changed = emptied = False
+        for low in held[:targets]:
+            for high in sorted((b for b in held if b is not low), key=lambda b: b[0]):
+                while low[1] and low[0] <= high[0] < capacity and _exchange(low[1], high[1], capacity - high[0]):
+                    changed = True
+                    total = low[0] + high[0]
+                    low[0] = sum(kind * len(items) for kind, items in low[1].items())
+                    high[0] = total - low[0]
+                if not low[1]:
                     break
-            if not low:
+            if not low[1]:
                 emptied = True
                 break
-        bins = [b for b in bins if b]
-        if not emptied:
+        held = [b for b in held if b[1]]
+        if not emptied and not changed:
             break
-    return bins
+    return [[i for items in by_size.values() for i in items] for _, by_size in held]
 
 
 KEYS = "row long, piece int, length long, block long, bin int, offset long, again boolean"

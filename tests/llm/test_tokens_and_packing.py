@@ -1,6 +1,7 @@
 """Token ids against the tokenizers library, packing invariants, and pieces against sentencepiece."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -71,7 +72,56 @@ def test_exchanges_empty_a_bin():
     size = [6, 5, 5, 4]
     assert len(packing.improve([[0, 2], [1, 3], []], size, 11)) == 2
     assert len(packing.improve([[0], [1], [2], [3]], size, 10)) == 2
-    assert len(packing.improve([[0, 1], [2], [3]], [5, 3, 4, 8], 10)) == 2
+    assert len(packing.improve([[0, 1], [2], [3]], [5, 2, 5, 8], 10)) == 2
+    assert len(packing.improve([[0, 1], [2], [3]], [5, 3, 4, 8], 10)) == 3  # nothing fits beside the 8
+
+
+def fewest(size, capacity):
+    """Bins of the best packing, by trying every place for every item."""
+    best = len(size)
+
+    def place(k, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if k == len(size):
+            best = len(rooms)
+            return
+        for room in set(rooms):
+            if room >= size[k]:
+                rest = list(rooms)
+                rest.remove(room)
+                place(k + 1, [*rest, room - size[k]])
+        place(k + 1, [*rooms, capacity - size[k]])
+
+    place(0, [])
+    return best
+
+
+def test_small_cases_next_to_all_packings():
+    rng = random.Random(11)
+    above = 0
+    for _ in range(400):
+        size = [rng.randint(1, 30) for _ in range(rng.randint(1, 8))]
+        capacity = rng.randint(max(size), 45)
+        first = packing.best_fit(size, capacity)
+        bins = packing.improve(first, size, capacity)
+        assert sorted(i for b in bins for i in b) == list(range(len(size)))
+        assert all(sum(size[i] for i in b) <= capacity for b in bins)
+        best = fewest(size, capacity)
+        assert packing.lower_bound(size, capacity) <= best <= len(bins) <= len(first)
+        above += len(bins) > best
+    assert above <= 4
+
+
+@pytest.mark.parametrize("kinds", [[3], [1, 2, 3], [2, 3, 5, 7, 11, 2049]])
+def test_many_equal_lengths_end_soon(kinds):
+    rng = random.Random(12)
+    size = [rng.choice(kinds) for _ in range(8192)]
+    start = time.monotonic()
+    bins = packing.improve(packing.best_fit(size, 4096), size, 4096)
+    assert time.monotonic() - start < 20
+    assert len(bins) <= packing.lower_bound(size, 4096) + 1
 
 
 def test_packing_nothing_and_too_long(spark):
