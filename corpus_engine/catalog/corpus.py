@@ -21,6 +21,7 @@ from corpus_engine.functions import text as tx
 from corpus_engine.operators import clean as cl
 from corpus_engine.operators import profile as pf
 from corpus_engine.operators import quality as ql
+from corpus_engine.operators.quantiles import quantiles
 from corpus_engine.operators import topk
 from corpus_engine.session import scratch_path
 from corpus_engine.sources import articles as src
@@ -309,6 +310,26 @@ def length_description(spark, sf):
     return out.withColumns({"mean": F.round("mean", 4), "std": F.round("std", 4)})
 
 
+@register(
+    "D9 D11",
+    """SELECT o_orderpriority, unnest([0.05, 0.5, 0.95]) AS share,
+              round(unnest(quantile_cont(o_totalprice, [0.05, 0.5, 0.95])), 4) AS quantile FROM orders GROUP BY 1""",
+)
+def order_value_quantiles(spark, sf):
+    """How order values are spread, per priority: exact quantiles of a column whose values hardly repeat."""
+    out = quantiles(table(spark, sf, "orders"), F.col("o_totalprice"), [0.05, 0.5, 0.95], "o_orderpriority")
+    return out.select("o_orderpriority", "share", F.round("quantile", 4).alias("quantile"))
+
+
+@register(
+    "D9 D11",
+    """SELECT event_type, quantile_cont(value, 0.5) AS median FROM events GROUP BY 1""",
+)
+def median_event_values(spark, sf):
+    out = quantiles(table(spark, sf, "events"), F.col("value"), [0.5], "event_type")
+    return out.select("event_type", F.col("quantile").alias("median"))
+
+
 def _months_sql(source: str, day: str) -> str:
     return f"""m AS (SELECT date_trunc('month', {day})::DATE AS first_day, count(*) AS n FROM {source}
       WHERE {day} IS NOT NULL GROUP BY 1),
@@ -326,10 +347,10 @@ def articles_per_month(spark, sf):
     return pf.monthly_counts(dated_articles(spark, sf), "date")
 
 
-@register("D12", "WITH " + _months_sql("(SELECT o_orderdate AS d FROM orders WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 400000)", "d"))
+@register("D12", "WITH " + _months_sql("(SELECT o_orderdate AS d FROM orders)", "d"))
 def orders_per_month(spark, sf):
-    big = table(spark, sf, "orders").filter("o_orderpriority = '1-URGENT' AND o_totalprice > 400000")
-    return pf.monthly_counts(big, "o_orderdate")
+    """All orders."""
+    return pf.monthly_counts(table(spark, sf, "orders"), "o_orderdate")
 
 
 @register(

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpus_engine.catalog.base import articles, prepared, register, table, tfidf_sql, with_sql
+from corpus_engine.catalog.base import PREPARED, articles, prepared, register, table, tfidf_sql, with_sql
 from corpus_engine.catalog.evaluation import LANGS
 from corpus_engine.catalog.text import FULL, stored_vocab
 from corpus_engine.catalog.topics import class_weights_sql
@@ -208,6 +208,64 @@ def attribution_totals(spark, sf):
     return out.withColumns({c: F.round(c, 5) for c in ("score", "base", "total")})
 
 
+SCORED = GIVEN + """,
+raw AS (SELECT p.id, n.label_idx, coalesce(sum(c.weight * f.tfidf), 0) AS score
+        FROM prepared p CROSS JOIN names n LEFT JOIN f ON f.id = p.id LEFT JOIN coef c ON c.term_id = f.term_id AND c.label_idx = n.label_idx
+        GROUP BY 1, 2),
+e AS (SELECT *, exp(score - max(score) OVER (PARTITION BY id)) AS e FROM raw),
+proba AS (SELECT id, label_idx, score, e / sum(e) OVER (PARTITION BY id) AS p,
+                 row_number() OVER (PARTITION BY id ORDER BY score DESC, label_idx)::INTEGER AS rank FROM e)"""
+
+
+def scored_rows(spark, sf):
+    """All prepared articles scored with the given coefficients."""
+    rows, coef, _ = given(spark, sf)
+    return sc.score_rows(rows, coef, [0.0] * len(LANGS), prepared(spark, sf).select("id"))
+
+
+@register("I5 M1", with_sql(SCORED, "SELECT id, label_idx, round(p, 9) AS probability FROM proba"))
+def probabilities_given(spark, sf):
+    """The probability of every class for every article."""
+    scored = scored_rows(spark, sf)
+    return scored.select("id", F.posexplode("probability").alias("label_idx", "p")).select(
+        "id", "label_idx", F.round("p", 9).alias("probability")
+    )
+
+
+@register(
+    "M1 I5 E3",
+    with_sql(
+        SCORED,
+        """, top AS (SELECT id, label_idx, p FROM proba WHERE rank = 1),
+        words AS (SELECT f.id, f.term, c.weight * f.tfidf AS worth, row_number() OVER (PARTITION BY f.id ORDER BY c.weight * f.tfidf DESC, f.term) AS rank
+                  FROM f JOIN top USING (id) JOIN coef c ON c.term_id = f.term_id AND c.label_idx = top.label_idx WHERE c.weight * f.tfidf > 0),
+        best AS (SELECT id, string_agg(term, ' ' ORDER BY rank) AS words, round(sum(round(worth, 4)), 4) AS total FROM words WHERE rank <= 8 GROUP BY 1)
+        SELECT top.id, lang AS topic, round(p, 4) AS confidence, coalesce(words, '') AS words, coalesce(total, 0) AS total
+        FROM top JOIN names USING (label_idx) LEFT JOIN best ON best.id = top.id""",
+    ),
+)
+def scored_given(spark, sf):
+    """Topic, confidence and explaining words of every article, as a sparse product with given coefficients."""
+    return scored_rows(spark, sf).select(
+        "id",
+        F.get(F.array(*[F.lit(k) for k in LANGS]), F.col("prediction")).alias("topic"),
+        F.round(F.array_max("probability"), 4).alias("confidence"),
+        F.array_join("top_words.word", " ").alias("words"),
+        F.round(F.aggregate("top_words.score", F.lit(0.0), lambda a, x: a + x), 4).alias("total"),
+    )
+
+
+@register(
+    "M2 E4",
+    with_sql(SCORED, "SELECT id, rank, label_idx AS topic_id, lang AS topic_label, round(p, 4) AS probability FROM proba JOIN names USING (label_idx) WHERE rank <= 3"),
+)
+def runner_ups_given(spark, sf):
+    """The three most probable topics of every article, with name and probability."""
+    labels = spark.createDataFrame([(i, i) for i in range(len(LANGS))], "label_idx int, topic_id int")
+    info = spark.createDataFrame(list(enumerate(LANGS)), "topic int, name string")
+    return sc.runners_up(scored_rows(spark, sf), labels, info, n=3)
+
+
 # --- trained models ------------------------------------------------------------------------------
 
 
@@ -269,6 +327,19 @@ def class_probabilities(spark, sf):
     return md.predict(t.model, t.test).select("id", "label_idx", "prediction", "probability")
 
 
+@register("M1 I5", with_sql(PREPARED, "SELECT id, true AS agrees FROM prepared"))
+def scores_as_the_model_predicts(spark, sf):
+    """The sparse product next to the trained model's own prediction, for every article."""
+    t = classifier(spark, sf)
+    own = md.predict(t.model, t.vectors).select("id", F.col("prediction").alias("p"), F.col("probability").alias("q"))
+    rows = ft.tfidf(t.docs.select("id", "text_clean"), t.vocab)
+    scored = sc.score_rows(rows, t.coef, t.model.interceptVector.toArray().tolist(), t.docs)
+    far = F.array_max(F.zip_with("probability", "q", lambda a, b: F.abs(a - b)))
+    return t.docs.select("id").join(scored, "id", "left").join(own, "id", "left").select(
+        "id", ((F.col("prediction") == F.col("p")) & (far < 1e-9)).alias("agrees")
+    )
+
+
 @register("I3 I7")
 def boosted_scores(spark, sf):
     """Boosted trees against the linear classifier."""

@@ -19,7 +19,9 @@ from corpus_engine.catalog.evaluation import LANGS
 from corpus_engine.catalog.text import FULL, weights
 from corpus_engine.operators import profile as pf
 from corpus_engine.operators import topics as tp
+from corpus_engine.operators import density as dn
 from corpus_engine.operators.density import density_clusters, nearest_neighbours
+from corpus_engine.operators.topk import with_sorted_index
 from corpus_engine.session import scratch_path, settled
 from corpus_engine.sources import tables as tb
 
@@ -144,6 +146,87 @@ def core_distances(spark, sf):
     return near.groupBy(F.col("src").alias("id")).agg(F.round(F.max("distance"), 5).alias("core"))
 
 
+def _tree_sql(min_pts: int) -> str:
+    """CTEs down to ``tree(k, a, b, w)``, the edges of the spanning tree by weight: the nearest point outside joins."""
+    return f"""
+p AS (SELECT (row_number() OVER (ORDER BY vec_id))::INTEGER AS i, vec_id, embedding::DOUBLE[] AS x FROM embeddings),
+d AS (SELECT a.i, b.i AS j, sqrt(list_sum(list_transform(list_zip(a.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS d
+      FROM p a JOIN p b ON a.i <> b.i),
+core AS (SELECT i, max(d) AS core FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY d) AS k FROM d) WHERE k <= {min_pts} GROUP BY 1),
+w AS (SELECT d.i, j, greatest(d, c.core, e.core) AS w FROM d JOIN core c ON c.i = d.i JOIN core e ON e.i = d.j
+      UNION ALL SELECT i, i, 'infinity'::DOUBLE FROM p),
+rows_of AS (SELECT i, list(w ORDER BY j) AS w FROM w GROUP BY 1),
+prim AS (
+  SELECT 0 AS step, 1 AS now, 0 AS source, 0::DOUBLE AS w, list_transform(w, lambda x, k: k = 1) AS seen, w AS best, list_transform(w, lambda x: 1) AS origin
+  FROM rows_of WHERE i = 1
+  UNION ALL
+  SELECT n.step + 1, n.now, n.origin[n.now], n.best[n.now], list_transform(n.seen, lambda x, k: x OR k = n.now),
+         list_transform(n.best, lambda x, k: least(x, r.w[k])), list_transform(n.origin, lambda x, k: CASE WHEN r.w[k] < n.best[k] THEN n.now ELSE x END)
+  FROM (SELECT *, list_position(list_transform(best, lambda x, k: CASE WHEN seen[k] THEN 'infinity'::DOUBLE ELSE x END),
+                                list_min(list_transform(best, lambda x, k: CASE WHEN seen[k] THEN 'infinity'::DOUBLE ELSE x END))) AS now
+        FROM (SELECT * EXCLUDE (now) FROM prim)) n JOIN rows_of r ON r.i = n.now
+  WHERE n.step < (SELECT count(*) FROM p) - 1),
+tree AS (SELECT row_number() OVER (ORDER BY w, step) AS k, source AS a, now AS b, w FROM prim WHERE step > 0)"""
+
+
+@register("H3", f"WITH RECURSIVE {_tree_sql(5)} SELECT k AS rank, round(w, 6) AS weight FROM tree")
+def spanning_edges(spark, sf):
+    """How far apart the parts of the supplied vectors are when they join, from the first to the last."""
+    edges = dn.spanning_edges(_labelled_vectors(spark, sf), 5)
+    ranked = with_sorted_index(edges.select(F.struct("weight", "a", "b").alias("edge")), "edge", "rank")
+    return ranked.select((F.col("rank") + 1).alias("rank"), F.round("edge.weight", 6).alias("weight"))
+
+
+def _clusters_sql(min_pts: int, size: int) -> str:
+    """Components at every weight of the tree; those of ``size`` points linked upwards are chains, and a chain
+    between two forks is a cluster. What a cluster is worth is added up from the inside out."""
+    return f"""WITH RECURSIVE {_tree_sql(min_pts)},
+parts AS (
+  SELECT 0 AS k, (SELECT list(i ORDER BY i) FROM p) AS part
+  UNION ALL
+  SELECT t.k, list_transform(part, lambda c: CASE WHEN c = part[t.b] THEN part[t.a] ELSE c END) FROM parts JOIN tree t ON t.k = parts.k + 1),
+levels AS (SELECT max(k) AS k, row_number() OVER (ORDER BY w) AS level, 1 / greatest(w, (SELECT min(w) FROM tree WHERE w > 0)) AS density
+           FROM tree GROUP BY w),
+at_level AS (SELECT level, density, part, lead(part) OVER (ORDER BY level) AS next, lead(density) OVER (ORDER BY level) AS after
+             FROM levels JOIN parts USING (k)),
+members AS (SELECT level, density, after, next, unnest(part) AS c, generate_subscripts(part, 1) AS i FROM at_level),
+large AS (SELECT level, c, count(*) AS n, any_value(density) AS density, any_value(after) AS after, any_value(next)[c] AS up
+          FROM members GROUP BY level, c HAVING count(*) >= {size}),
+forked AS (SELECT l.*, (SELECT count(*) FROM large b WHERE b.level = l.level - 1 AND b.up = l.c) AS inner_ones FROM large l),
+chain AS (
+  SELECT level, c, up, n, density, after, level AS first_level, c AS first_c FROM forked WHERE inner_ones <> 1
+  UNION ALL
+  SELECT f.level, f.c, f.up, f.n, f.density, f.after, chain.first_level, chain.first_c
+  FROM chain JOIN forked f ON f.level = chain.level + 1 AND f.c = chain.up AND f.inner_ones = 1),
+clusters AS (SELECT row_number() OVER (ORDER BY first_level, first_c) AS number, first_level, first_c, max(level) AS top,
+                    arg_max(c, level) AS top_c, arg_max(up, level) AS up, sum(n * (density - coalesce(after, 0))) AS mass
+             FROM chain GROUP BY first_level, first_c),
+nested AS (SELECT c.*, o.number AS parent FROM clusters c LEFT JOIN clusters o ON o.first_level = c.top + 1 AND o.first_c = c.up),
+kids AS (SELECT n.number, any_value(n.mass) AS mass, coalesce(list(k.number) FILTER (k.number IS NOT NULL), []) AS kids
+         FROM nested n LEFT JOIN nested k ON k.parent = n.number GROUP BY 1),
+worth AS (
+  SELECT 0::BIGINT AS number, []::DOUBLE[] AS best, false AS kept
+  UNION ALL
+  SELECT k.number, list_append(best, greatest(k.mass, coalesce(list_sum(list_transform(k.kids, lambda i: best[i])), 0))),
+         k.mass >= coalesce(list_sum(list_transform(k.kids, lambda i: best[i])), 0)
+  FROM worth JOIN kids k ON k.number = worth.number + 1),
+above AS (
+  SELECT number, parent AS outer_one FROM nested WHERE parent IS NOT NULL
+  UNION ALL
+  SELECT above.number, n.parent FROM above JOIN nested n ON n.number = above.outer_one WHERE n.parent IS NOT NULL),
+good AS (SELECT n.* FROM nested n JOIN worth USING (number) WHERE kept AND parent IS NOT NULL),
+chosen AS (SELECT * FROM good WHERE number NOT IN (SELECT a.number FROM above a JOIN good g ON g.number = a.outer_one)),
+labels AS (SELECT m.i, number FROM chosen JOIN members m ON m.level = chosen.top AND m.c = chosen.top_c),
+numbers AS (SELECT number, row_number() OVER (ORDER BY count(*) DESC, min(vec_id)) - 1 AS topic_id FROM labels JOIN p USING (i) GROUP BY 1)
+SELECT vec_id AS id, coalesce(topic_id, -1)::INTEGER AS topic_id FROM p LEFT JOIN labels USING (i) LEFT JOIN numbers USING (number)"""
+
+
+@register("H3", _clusters_sql(2, 4))
+def density_clusters_given(spark, sf):
+    """Small density clusters of the supplied vectors as they are."""
+    return density_clusters(_labelled_vectors(spark, sf), min_cluster_size=4, min_pts=2)
+
+
 @register("H1")
 def document_vectors(spark, sf):
     """One unit vector of 384 numbers per article."""

@@ -27,11 +27,11 @@ def dedup_keep_first(
     """One row per distinct ``key``: the first in ``order`` (then by a hash of the whole row).
 
     First pass: digest and order columns only, reduced per digest with map-side combine, so a text
-    copied a billion times never meets in one task. The digests that occur more than once, with
-    their first row's rank, are written down. Second pass: texts that occur once, nearly all, pass
-    by an anti-join with that list, first rows by a join on digest and rank. While the list is
-    small both joins are broadcast and the texts are not shuffled; beyond that they are shuffled by
-    digest, and for the first rows by digest and rank, which spreads the copies of one text.
+    copied a billion times never meets in one task. The digests that occur more than once are written
+    down with their first row's rank. Second pass: one join with that list decides every row; texts
+    that it does not name occur once. While the list is small it is broadcast and the texts are not
+    shuffled; beyond that they are shuffled by digest. Rows that agree in every column have the same rank;
+    only where a first row has such twins, its rows are reduced to one in a further pass.
     Null keys count as equal, as in a data frame's duplicate drop.
     """
     keyed = df.withColumns(
@@ -42,22 +42,22 @@ def dedup_keep_first(
             ),
         }
     )
+    ranked = keyed.groupBy("_digest", "_rank").agg(F.count(F.lit(1)).alias("_n"))
     repeated = settled(
-        keyed.groupBy("_digest")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_rank").alias("_rank"))
-        .filter("_n > 1")
-        .select("_digest", "_rank"),
+        ranked.groupBy("_digest")
+        .agg(F.sum("_n").alias("_all"), F.min(F.struct("_rank", "_n")).alias("_least"))
+        .filter("_all > 1")
+        .select("_digest", F.col("_least._rank").alias("_first"), (F.col("_least._n") > 1).alias("_twins")),
         "repeated",
-        BROADCAST_DIGESTS,
     )
-    once = keyed.join(repeated.select("_digest"), "_digest", "left_anti").select(df.columns)
-    # rows that agree in every column have the same rank: one of them stays
-    first = (
-        keyed.join(repeated, ["_digest", "_rank"], "left_semi")
-        .dropDuplicates(["_digest"])
-        .select(df.columns)
-    )
-    return once.unionByName(first)
+    listed, twins = repeated.agg(F.count(F.lit(1)), F.coalesce(F.max("_twins"), F.lit(False))).first()
+    if listed <= BROADCAST_DIGESTS:
+        repeated = F.broadcast(repeated)
+    first = keyed.join(repeated, "_digest", "left").filter(F.col("_first").isNull() | (F.col("_first") == F.col("_rank")))
+    if not twins:
+        return first.select(df.columns)
+    alone = first.filter(~F.coalesce("_twins", F.lit(False))).select(df.columns)
+    return alone.unionByName(first.filter("_twins").dropDuplicates(["_digest"]).select(df.columns))
 
 
 def clean(df: DataFrame, order: Sequence[str] = ("file_rank", "id")) -> DataFrame:

@@ -115,9 +115,7 @@ def linear_attribution(
 
 def attribution_extremes(attributions: DataFrame, n: int = 10, key: str = "id") -> DataFrame:
     """The ``n`` terms that push most towards and away from the predicted class, per document."""
-    return signed_extremes(attributions, key, "attribution", "term", n).select(
-        key, "side", "rank", "term", "attribution"
-    )
+    return signed_extremes(attributions, key, "attribution", "term", n)
 
 
 def attribution_check(attributions: DataFrame, n: int = 5, key: str = "id") -> DataFrame:

@@ -124,7 +124,8 @@ def fit_vocabulary(
         index = F.row_number().over(Window.orderBy("term")) - 1
         indexed = terms.withColumn("term_id", index.cast("int"))
     else:
-        indexed = with_sorted_index(terms, "term", "term_id")
+        # vectors number their entries with 32 bits; beyond that the cast is an error
+        indexed = with_sorted_index(terms, "term", "term_id").withColumn("term_id", F.col("term_id").cast("int"))
     idf = F.ln((documents + 1) / (F.col("df") + 1)) + 1
     return indexed.select("term_id", "term", "df", "corpus_tf", idf.alias("idf"))
 
@@ -158,6 +159,18 @@ def _weighted(
     )
 
 
+def weighted_rows(
+    df: DataFrame,
+    vocab: DataFrame,
+    ngram_range: tuple[int, int] = (1, 2),
+    sublinear: bool = True,
+    text: str = "text_clean",
+    key: str = "id",
+) -> DataFrame:
+    """``(key, term_id, term, weight)`` before a document's length is divided out, for whoever sums it on the way."""
+    return _weighted(df, vocab, ngram_range, sublinear, text, key).select(key, "term_id", "term", F.col("_w").alias("weight"))
+
+
 def tfidf(
     df: DataFrame,
     vocab: DataFrame,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
@@ -133,22 +135,22 @@ def sweep_c(
     return train.sparkSession.createDataFrame(rows, "C double, train_acc double, test_acc double")
 
 
-def coef_table(spark: SparkSession, model: LogisticRegressionModel, vocab: DataFrame) -> DataFrame:
-    """Coefficients as rows ``(term_id, term, weights)``, ``weights[k]`` for class ``k``.
+def coef_rows(spark: SparkSession, model: LogisticRegressionModel) -> DataFrame:
+    """Coefficients as rows ``(term_id, weights)``, ``weights[k]`` for class ``k``.
 
-    The matrix (classes x vocabulary) lives on the driver in any case; it leaves as one array per
-    term. ``coef_long`` unfolds it.
+    The matrix (classes x vocabulary) lives on the driver in any case; it leaves as one Arrow table.
     """
-    matrix = model.coefficientMatrix.toArray().T
-    rows = [(i, [float(x) for x in row]) for i, row in enumerate(matrix)]
-    weights = spark.createDataFrame(rows, "term_id int, weights array<double>")
-    return weights.join(vocab.select("term_id", "term"), "term_id").select("term_id", "term", "weights")
+    matrix = np.ascontiguousarray(model.coefficientMatrix.toArray().T)
+    terms, classes = matrix.shape
+    ends = pa.array(np.arange(0, terms * classes + 1, classes, dtype=np.int32))
+    columns = [pa.array(np.arange(terms, dtype=np.int32)), pa.ListArray.from_arrays(ends, pa.array(matrix.ravel()))]
+    return spark.createDataFrame(pa.table(columns, names=["term_id", "weights"]))
 
 
-def class_weight_rows(spark: SparkSession, model: LogisticRegressionModel) -> DataFrame:
-    """Coefficients as one row per class: ``(prediction, weights)``, ``weights[term_id]``."""
-    rows = [(k, [float(x) for x in row]) for k, row in enumerate(model.coefficientMatrix.toArray())]
-    return spark.createDataFrame(rows, "prediction int, weights array<double>")
+def coef_table(spark: SparkSession, model: LogisticRegressionModel, vocab: DataFrame) -> DataFrame:
+    """Coefficients with their terms ``(term_id, term, weights)``. ``coef_long`` unfolds it."""
+    rows = coef_rows(spark, model)
+    return rows.join(vocab.select("term_id", "term"), "term_id").select("term_id", "term", "weights")
 
 
 def coef_long(coef: DataFrame) -> DataFrame:

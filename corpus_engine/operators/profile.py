@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpus_engine.operators.quantiles import quantiles
+
 
 def value_counts(df: DataFrame, column: str, normalize: bool = False, digits: int = 1) -> DataFrame:
     """Rows per value, most frequent first; nulls are left out. ``normalize`` adds ``pct``."""
@@ -141,40 +143,37 @@ def boxplot_stats(df: DataFrame, by: str, value: Column, clip: float) -> DataFra
 
 
 def median_by(df: DataFrame, by: str, value: Column) -> DataFrame:
-    """Median per group, largest first."""
-    return (
-        df.groupBy(by).agg(F.median(value).alias("median")).orderBy(F.desc("median"), by)
-    )
+    """Median per group, largest first; groups without values last."""
+    medians = quantiles(df, value, [0.5], by).select(F.col(by).alias("_by"), F.col("quantile").alias("median"))
+    groups = df.select(by).distinct()
+    return groups.join(medians, F.col(by).eqNullSafe(F.col("_by")), "left").select(by, "median").orderBy(F.desc("median"), by)
+
+
+def _wide(found: DataFrame, names: Sequence[tuple[float, str]]) -> DataFrame:
+    """One row with a column per share."""
+    return found.agg(*[F.max(F.when(F.col("share") == share, F.col("quantile"))).alias(name) for share, name in names])
 
 
 def length_summary(df: DataFrame, column: str = "content") -> DataFrame:
     """Shortest, median and longest text."""
     size = F.length(column)
-    return df.agg(
-        F.min(size).alias("min_len"), F.median(size).alias("median_len"), F.max(size).alias("max_len")
-    )
+    ends = df.agg(F.min(size).alias("min_len"), F.max(size).alias("max_len"))
+    middle = _wide(quantiles(df, size, [0.5]), [(0.5, "median_len")])
+    return ends.join(middle, F.lit(True)).select("min_len", "median_len", "max_len")
 
 
 def describe_numeric(df: DataFrame, value: Column) -> DataFrame:
     """count, mean, sd (n-1), min, quartiles with linear interpolation, max."""
-    quartile = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return df.agg(
+    sums = df.agg(
         F.count(value).alias("count"),
         F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("std"),
         F.min(value).alias("min"),
-        quartile.alias("_q"),
         F.max(value).alias("max"),
-    ).select(
-        "count",
-        "mean",
-        "std",
-        "min",
-        F.col("_q")[0].alias("q25"),
-        F.col("_q")[1].alias("q50"),
-        F.col("_q")[2].alias("q75"),
-        "max",
     )
+    names = [(0.25, "q25"), (0.5, "q50"), (0.75, "q75")]
+    quartiles = _wide(quantiles(df, value, [share for share, _ in names]), names)
+    return sums.join(quartiles, F.lit(True)).select("count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 DATE_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "MM/dd/yyyy", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy")

@@ -77,20 +77,23 @@ def stratified_sample(
     Every stratum gives ``floor(size * n_g / N)`` rows; what rounding leaves open is drawn from all
     remaining rows, which is also the only way in for rows without a stratum.
     """
-    keyed = df.withColumn("_key", random_key(seed, key))
+    # counts and thresholds take several passes: over ids and strata, written once, not over the rows
+    keyed = settled(df.select(key, by), "strata-rows").withColumn("_key", random_key(seed, key))
     counts = settled(keyed.groupBy(by).agg(F.count(F.lit(1)).alias("n")), "strata", BROADCAST_STRATA)
     total = counts.agg(F.sum("n")).scalar()
     quotas = counts.filter(F.col(by).isNotNull()).select(
         by, F.least("n", F.floor(F.lit(size) * F.col("n") / total)).cast("bigint").alias("quota")
     )
-    marked = keyed.join(key_thresholds(keyed, by, quotas), by, "left").withColumn(
-        "_taken", F.coalesce(F.col("_key") <= F.col("_threshold"), F.lit(False))
-    )
+    cuts = settled(key_thresholds(keyed, by, quotas), "cuts", BROADCAST_STRATA)
+
+    def marked(rows: DataFrame) -> DataFrame:
+        return rows.join(cuts, by, "left").withColumn("_taken", F.coalesce(F.col("_key") <= F.col("_threshold"), F.lit(False)))
+
     open_places = F.lit(size) - quotas.agg(F.coalesce(F.sum("quota"), F.lit(0))).scalar()
     # the remaining rows have a random order of their own, under the next seed
-    rest = marked.filter(~F.col("_taken")).select(random_key(seed + 1, key).alias("_key"))
+    rest = marked(keyed).filter(~F.col("_taken")).select(random_key(seed + 1, key).alias("_key"))
     cut = _global_threshold(rest, F.greatest(open_places, F.lit(0)))
-    return marked.filter(
+    return marked(df.withColumn("_key", random_key(seed, key))).filter(
         F.col("_taken") | F.coalesce(random_key(seed + 1, key) <= cut, F.lit(False))
     ).select(df.columns)
 

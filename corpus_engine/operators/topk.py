@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpus_engine.session import settled
+
 
 def top_n_per_group(
     df: DataFrame, by: str | Sequence[str], order: Sequence[Column | str], n: int, rank: str = "rank"
@@ -24,10 +26,23 @@ def top_n_per_group(
 def signed_extremes(
     df: DataFrame, by: str, value: str, tie: str, n: int = 10
 ) -> DataFrame:
-    """The ``n`` largest and ``n`` smallest values per group, marked in ``side``."""
-    top = top_n_per_group(df, by, [F.desc(value), tie], n).withColumn("side", F.lit("top"))
-    bottom = top_n_per_group(df, by, [F.asc(value), tie], n).withColumn("side", F.lit("bottom"))
-    return top.unionByName(bottom)
+    """The ``n`` largest and ``n`` smallest values per group, marked in ``side``: ``by, side, rank, tie, value``.
+
+    One pass: a group's values become one array, from which both ends are cut. For groups that fit in a row, as
+    the terms of a document do.
+    """
+    listed = F.collect_list(F.struct(F.col(value).alias("value"), F.col(tie).alias("tie")))
+    down = F.array_sort(F.transform("_all", lambda e: F.struct((-e["value"]).alias("back"), e["tie"].alias("tie"))))
+    up = F.array_sort("_all")
+
+    def side(name: str, ranked: Column, sign: int, field: str) -> Column:
+        return F.transform(
+            F.slice(ranked, 1, n),
+            lambda e, k: F.struct(F.lit(name).alias("side"), (k + 1).alias("rank"), e["tie"].alias(tie), (sign * e[field]).alias(value)),
+        )
+
+    both = F.concat(side("top", down, -1, "back"), side("bottom", up, 1, "value"))
+    return df.groupBy(by).agg(listed.alias("_all")).select(by, F.inline(both))
 
 
 def with_share(df: DataFrame, column: str, name: str = "share", scale: float = 1.0) -> DataFrame:
@@ -61,22 +76,26 @@ def take_largest(df: DataFrame, value: str, k: int, tie: str) -> DataFrame:
     )
 
 
-def with_sorted_index(df: DataFrame, column: str, name: str, prefix: int = 3) -> DataFrame:
-    """Add the 0-based position in ascending order of a unique string column.
+def with_sorted_index(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Add the 0-based position (bigint) in ascending order of a unique column.
 
-    Positions are counted inside each leading prefix and shifted by the rows of all earlier
-    prefixes, so no single task has to sort the whole table.
+    The table is dealt into ranges of ``column`` and sorted inside them; a row's position is its place in its
+    range after the rows of all earlier ranges. Ranges are drawn from the values themselves, so no beginning
+    that many of them share makes one too long. Places are written with the rows before they are counted.
     """
-    keyed = df.withColumn("_prefix", F.substring(column, 1, prefix))
-    sizes = keyed.groupBy("_prefix").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_prefix", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-    )
-    inside = Window.partitionBy("_prefix").orderBy(column)
+    ranged = settled(df, "to-index").repartitionByRange(column).sortWithinPartitions(column)
+    # the low 33 bits count the rows of a task
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = settled(ranged.withColumns({"_range": F.spark_partition_id(), "_place": place}), "indexed")
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     return (
-        keyed.withColumn("_pos", F.row_number().over(inside) - 1)
-        .join(offsets, "_prefix")
-        .withColumn(name, (F.col("_offset") + F.col("_pos")).cast("int"))
-        .drop("_prefix", "_pos", "_offset")
+        placed.join(range_offsets(sizes), "_range")
+        .withColumn(name, F.col("_offset") + F.col("_place"))
+        .drop("_range", "_place", "_offset")
     )
+
+
+def range_offsets(sizes: DataFrame) -> DataFrame:
+    """``(_range, _offset)``: rows of all earlier ranges, from ``(_range, _n)``; one row per range."""
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("bigint").alias("_offset"))

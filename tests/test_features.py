@@ -118,8 +118,23 @@ def test_take_largest_is_exact_with_ties(spark):
 def test_sorted_index(spark):
     words = [f"{a}{b}" for a in "zxyab" for b in range(40)]
     df = spark.createDataFrame([(w,) for w in words], "w string").repartition(7)
-    got = {r.w: r.i for r in topk.with_sorted_index(df, "w", "i", prefix=1).collect()}
+    found = topk.with_sorted_index(df, "w", "i")
+    assert found.schema["i"].dataType.simpleString() == "bigint"
+    assert {r.w: r.i for r in found.collect()} == {w: i for i, w in enumerate(sorted(words))}
+
+
+def test_sorted_index_of_terms_that_begin_alike(spark):
+    words = [f"the {n:06d}" for n in range(20_000)] + ["a", "zz"]
+    df = spark.createDataFrame([(w,) for w in words], "w string").repartition(9)
+    got = {r.w: r.i for r in topk.with_sorted_index(df, "w", "i").collect()}
     assert got == {w: i for i, w in enumerate(sorted(words))}
+    assert topk.with_sorted_index(df.limit(0), "w", "i").count() == 0
+
+
+def test_positions_go_beyond_32_bits(spark):
+    sizes = spark.createDataFrame([(k, 3_000_000_000) for k in (2, 0, 1)], "_range int, _n bigint")
+    got = {r._range: r._offset for r in topk.range_offsets(sizes).collect()}
+    assert got == {0: 0, 1: 3_000_000_000, 2: 6_000_000_000}
 
 
 def test_vocabulary_reports(spark):
