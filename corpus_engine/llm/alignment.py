@@ -13,11 +13,13 @@ from __future__ import annotations
 import hashlib
 import heapq
 import math
+import os
 import re
 import struct
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,20 +32,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from corpus_engine.llm.base import slices
+from corpus_engine.llm.base import give_back_memory, slices
 from corpus_engine.session import settled
 
 FIRST = public_tokenizers.path("byte_bpe_50k.json")
 SECOND = public_tokenizers.path("piece_bpe_32k.model")
 
-BATCH_BYTES = 2_000_000  # text worked out at once; a longer text is a batch of its own
-MEMORY = 60_000  # units remembered; only speed depends on it
+BATCH_BYTES = 1_500_000  # text worked out at once; a longer text is a batch of its own
+MEMORY = 150_000  # units remembered; only speed depends on it
+LEARN = 200_000  # characters of new units worked out at once; a longer unit by itself
+SMALL_GROUP = 64  # links of a group up to which they are written one by one
 LONG_UNIT = 200  # characters of a unit beyond which it is not remembered
 RADIX_BYTES = 64_000_000  # text for each radix, up to RADIXES
 RADIXES = 512
 FAN_IN = 256  # runs merged at once
 BLOCK = 65_536  # pairs of a block of a run
-PART = 2_000_000  # links of a group worked out at once
 
 _BORDER = re.compile(r"(?<=\S)(?= )")
 
@@ -63,102 +66,184 @@ def _piece_bytes(piece: str) -> bytes:
     return bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode()
 
 
+def _stretches(ends: array, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of ``units``, one unit after the other, and how many each has."""
+    begin = np.frombuffer(ends, dtype=np.int64)
+    size = begin[units + 1] - begin[units]
+    return np.repeat(begin[units] - np.cumsum(size) + size, size) + np.arange(size.sum()), size
+
+
 class Both:
     """Units of text under both tokenizers, with a memory.
 
     For unit ``u`` the tables hold the numbers of first and second tokens, groups and links, the groups
-    written out, and its pairs (numbers into ``keys``) with how often each is linked. A unit whose tokens
-    do not spell it has ``good`` 0.
+    written out, and its pairs (``first << 32 | second``) with how often each is linked. A unit whose
+    tokens do not spell it has ``good`` 0 and no tokens.
     """
 
     def __init__(self, first: str, second: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.first = Tokenizer.from_file(first)
         self.first.encode_special_tokens = True
         self.second = sentencepiece.SentencePieceProcessor(model_file=second)
         letters = _byte_letters()
         vocabulary = self.first.get_vocab(with_added_tokens=True)
-        self.first_bytes = {i: bytes(map(letters.__getitem__, t)) for t, i in vocabulary.items() if all(c in letters for c in t)}
+        spelt = {i: bytes(map(letters.__getitem__, t)) for t, i in vocabulary.items() if all(c in letters for c in t)}
+        self.first_bytes = [spelt.get(i, b"") for i in range(max(vocabulary.values()) + 1)]
         self.second_bytes = [_piece_bytes(self.second.id_to_piece(i)) for i in range(len(self.second))]
+        self.first_size, self.second_size = (np.array([len(t) for t in x]) for x in (self.first_bytes, self.second_bytes))
         self.space = self.second.piece_to_id("▁")
+        self.ids = max(len(self.first_bytes), len(self.second_bytes))
+        self.shown = [b"%d%c" % (i, mark) for mark in b",|;\n" for i in range(self.ids)]
         self.forget()
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.pair_number: dict[int, int] = {}
-        self.keys = array("q")
         self.counts = {n: array("q") for n in ("first", "second", "groups", "links", "good")}
         self.written: list[bytes] = []
         self.pairs, self.times, self.ends = array("q"), array("q"), array("q", [0])
-
-    def _tokens(self, unit: str) -> tuple[list[int], list[int]]:
-        # the second tokenizer adds the space itself
-        second = self.second.encode(unit[1:]) if unit != " " else [self.space]
-        return self.first.encode(unit, add_special_tokens=False).ids, second
-
-    def learn(self, unit: str) -> int:
-        """Work out a unit and give its number."""
-        a, b = self._tokens(unit)
-        raw = unit.encode()
-        spelt_a, spelt_b = [self.first_bytes.get(i, b"") for i in a], [self.second_bytes[i] for i in b]
-        good = b"".join(spelt_a) == raw and b"".join(spelt_b) == raw
-        links = groups = 0
-        if good:
-            end_a, end_b = np.cumsum([len(t) for t in spelt_a]), np.cumsum([len(t) for t in spelt_b])
-            both = np.intersect1d(end_a, end_b)
-            to_a, to_b = np.searchsorted(end_a, both) + 1, np.searchsorted(end_b, both) + 1
-            groups = len(both)
-            parts, from_a, from_b = [], 0, 0
-            for x, y in zip(to_a.tolist(), to_b.tolist(), strict=True):
-                left, right = a[from_a:x], b[from_b:y]
-                parts.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-                links += len(left) * len(right)
-                self._link(left, right)
-                from_a, from_b = x, y
-            self.written.append(";".join(parts).encode())
-        else:
-            self.written.append(b"")
-        for name, value in (("first", len(a)), ("second", len(b)), ("groups", groups), ("links", links), ("good", good)):
-            self.counts[name].append(int(value))
-        self.ends.append(len(self.pairs))
-        return len(self.written) - 1
-
-    def _link(self, left: list[int], right: list[int]) -> None:
-        """Add the pairs of a group, each once with its number of links: tokens that occur again share theirs."""
-        if len(left) == 1 and len(right) == 1:
-            self._add([left[0] << 32 | right[0]], [1])
-            return
-        a, na = np.unique(np.array(left, dtype=np.int64), return_counts=True)
-        b, nb = np.unique(np.array(right, dtype=np.int64), return_counts=True)
-        step = max(1, PART // len(b))
-        for k in range(0, len(a), step):
-            some = slice(k, k + step)
-            self._add(((a[some, None] << 32) | b[None, :]).ravel().tolist(), (na[some, None] * nb[None, :]).ravel().tolist())
-
-    def _add(self, keys: list[int], times: list[int]) -> None:
-        known = self.pair_number
-        for key in keys:
-            at = known.setdefault(key, len(self.keys))
-            if at == len(self.keys):
-                self.keys.append(key)
-            self.pairs.append(at)
-        self.times.extend(times)
-
-    def units(self, text: str) -> list[int]:
-        """Numbers of the units of a text."""
-        units = _BORDER.split(" " + text)
+        self.uses = np.zeros(0, dtype=np.int64)
+
+    def used(self, units: np.ndarray) -> None:
+        """Note which units occurred."""
+        many = np.bincount(units, minlength=len(self.written))
+        many[: len(self.uses)] += self.uses
+        self.uses = many
+
+    def thin(self) -> None:
+        """Forget units that hardly occurred, and half of what is remembered at least."""
+        name = {n: u for u, n in self.number.items()}
+        keep = np.array([n for n in np.flatnonzero(self.uses > 1).tolist() if n in name], dtype=np.int64)
+        if len(keep) > MEMORY // 2:
+            keep = np.sort(keep[np.argsort(-self.uses[keep], kind="stable")[: MEMORY // 2]])
+        spot, size = _stretches(self.ends, keep)
+        uses = self.uses[keep] // 2
+        counts = {n: np.frombuffer(c, dtype=np.int64)[keep] for n, c in self.counts.items()}
+        pairs, times = (np.frombuffer(x, dtype=np.int64)[spot] if len(spot) else np.zeros(0, np.int64) for x in (self.pairs, self.times))
+        written = [self.written[n] for n in keep.tolist()]
+        self.forget()
+        self.written, self.uses = written, uses
+        self.number = {name[n]: k for k, n in enumerate(keep.tolist())}
+        for n, values in counts.items():
+            self.counts[n].frombytes(values.tobytes())
+        self.pairs.frombytes(pairs.tobytes())
+        self.times.frombytes(times.tobytes())
+        self.ends.frombytes(np.cumsum(size).astype(np.int64).tobytes())
+
+    def _tokens(self, units: list[str]) -> tuple:
+        """First and second tokens, one unit after the other, with the numbers of each; and which units both sides
+        spell. The others have no tokens. Units that end in a visible character are cut as one text."""
+        raw = list(map(str.encode, units))
+        size = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        whole = b"".join(raw)
+        if not any(u[-1].isspace() for u in units):
+            text, flats = "".join(units), []
+            listed = self.first.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.second.encode(text[1:])
+            for tokens, spelt, sizes in zip(listed, (self.first_bytes, self.second_bytes), (self.first_size, self.second_size)):
+                flat = np.array(tokens, dtype=np.int64)
+                ends, border = np.cumsum(sizes[flat]), np.cumsum(size)
+                if b"".join(map(spelt.__getitem__, tokens)) == whole and np.isin(border, ends).all():
+                    flats.append((flat, np.diff(np.searchsorted(ends, border, side="right"), prepend=0)))
+            if len(flats) == 2:
+                return *flats, np.ones(len(units), dtype=bool)
+        a = [e.ids for e in self.first.encode_batch_fast(units, add_special_tokens=False)]
+        # the second tokenizer adds the space itself, but not to nothing
+        b = self.second.encode([u[1:] for u in units], num_threads=1)
+        if " " in units:
+            b[units.index(" ")] = [self.space]
+        good = np.ones(len(units), dtype=bool)
+        flats = []
+        for tokens, spelt, sizes in ((a, self.first_bytes, self.first_size), (b, self.second_bytes, self.second_size)):
+            listed = list(chain.from_iterable(tokens))
+            flat, many = np.array(listed, dtype=np.int64), np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
+            flats.append((flat, many))
+            same = np.bincount(np.repeat(np.arange(len(units)), many), sizes[flat], len(units)) == size
+            if not same.all() or b"".join(map(spelt.__getitem__, listed)) != whole:
+                good &= [b"".join(map(spelt.__getitem__, t)) == r for t, r in zip(tokens, raw, strict=True)]
+        return *((flat[np.repeat(good, many)], np.where(good, many, 0)) for flat, many in flats), good
+
+    def learn(self, units: list[str]) -> None:
+        """Work out units and remember them."""
+        (flat_a, size_a), (flat_b, size_b), good = self._tokens(units)
+        end_a, end_b = np.cumsum(self.first_size[flat_a]), np.cumsum(self.second_size[flat_b])
+        at = np.minimum(np.searchsorted(end_b, end_a), max(0, len(end_b) - 1))
+        cut = end_a[end_b[at] == end_a] if len(end_b) else end_a
+        cut = cut[np.flatnonzero(np.diff(cut, prepend=-1))]
+        group_a, group_b = np.searchsorted(cut, end_a), np.searchsorted(cut, end_b)
+        in_a, in_b = np.bincount(group_a, minlength=len(cut)), np.bincount(group_b, minlength=len(cut))
+        unit_a = np.repeat(np.arange(len(units)), size_a)
+        first_a = np.cumsum(in_a) - in_a
+        unit_of = unit_a[first_a]  # of each group
+        groups = np.bincount(unit_of, minlength=len(units))
+        start = len(self.written)
+        self._write(flat_a, flat_b, group_a, group_b, unit_of, len(units))
+        keys, times, owner = self._linked(flat_a, flat_b, group_a, in_a, in_b, unit_of)
+        links = np.zeros(len(units), dtype=np.int64)
+        np.add.at(links, unit_of, in_a * in_b)
+        for name, values in (("first", size_a), ("second", size_b), ("groups", groups), ("links", links), ("good", good)):
+            self.counts[name].frombytes(values.astype(np.int64).tobytes())
+        begin = len(self.pairs)
+        self.pairs.frombytes(keys.tobytes())
+        self.times.frombytes(times.tobytes())
+        self.ends.frombytes((begin + np.cumsum(np.bincount(owner, minlength=len(units)))).astype(np.int64).tobytes())
+        self.number.update(zip(units, range(start, start + len(units)), strict=True))
+
+    def _write(self, flat_a, flat_b, group_a, group_b, unit_of, units: int) -> None:
+        """Every unit's groups as ``a1,a2|b1;a3|b2,b3``."""
+        last_a, last_b = (np.diff(g, append=-1) != 0 for g in (group_a, group_b))
+        ends_unit = np.diff(unit_of, append=-1) != 0
+        mark_a = np.where(last_a, 1, 0)
+        mark_b = np.where(last_b, np.where(ends_unit[group_b], 3, 2), 0)
+        at = np.concatenate([mark_a * self.ids + flat_a, mark_b * self.ids + flat_b])
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        shown = b"".join(map(self.shown.__getitem__, at[order].tolist())).split(b"\n")
+        out = [b""] * units
+        for unit, text in zip(unit_of[ends_unit].tolist(), shown, strict=False):
+            out[unit] = text
+        self.written += out
+
+    def _linked(self, flat_a, flat_b, group_a, in_a, in_b, unit_of) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each unit's pairs once, with their numbers of links, and the unit."""
+        first_b = np.cumsum(in_b) - in_b
+        small = in_a * in_b <= SMALL_GROUP
+        repeat = np.where(small, in_b, 0)[group_a]
+        spot = np.arange(repeat.sum()) - np.repeat(np.cumsum(repeat) - repeat, repeat)
+        keys = [np.repeat(flat_a, repeat) << 32 | flat_b[np.repeat(first_b[group_a], repeat) + spot]]
+        owner = [np.repeat(unit_of[group_a], repeat)]
+        times = [np.ones(len(keys[0]), dtype=np.int64)]
+        first_a = np.cumsum(in_a) - in_a
+        for g in np.flatnonzero(~small).tolist():
+            # a long group: tokens that occur again share their pairs
+            left, many = np.unique(flat_a[first_a[g] : first_a[g] + in_a[g]], return_counts=True)
+            right, often = np.unique(flat_b[first_b[g] : first_b[g] + in_b[g]], return_counts=True)
+            keys.append((left[:, None] << 32 | right[None, :]).ravel())
+            times.append((many[:, None] * often[None, :]).ravel())
+            owner.append(np.full(len(keys[-1]), unit_of[g]))
+        key, time, own = np.concatenate(keys), np.concatenate(times), np.concatenate(owner)
+        order = np.lexsort((key, own))
+        key, time, own = key[order], time[order], own[order]
+        first = np.flatnonzero((np.diff(key, prepend=-1) != 0) | (np.diff(own, prepend=-1) != 0))
+        return key[first], np.add.reduceat(time, first) if len(first) else time, own[first]
+
+    def units(self, texts: list[str | None]) -> list[list[int]]:
+        """Numbers of the units of texts; those not known yet are learnt together."""
+        if len(self.written) > MEMORY:
+            self.thin()
+        if len(self.pairs) > 10 * MEMORY:
+            self.forget()
+        cut = [_BORDER.split(" " + t) if t else [] for t in texts]
         known = self.number
-        try:
-            return list(map(known.__getitem__, units))
-        except KeyError:
-            out = []
-            for u in units:
-                n = known.get(u)
-                if n is None:
-                    n = self.learn(u)
-                    if len(u) <= LONG_UNIT:
-                        known[u] = n
-                out.append(n)
-            return out
+        new = [u for u in dict.fromkeys(chain.from_iterable(cut)) if u not in known]
+        for some in ([u for u in new if not u[-1].isspace()], [u for u in new if u[-1].isspace()]):
+            size = np.cumsum([len(u) for u in some])
+            cuts = np.unique(np.searchsorted(size, np.arange(LEARN, int(size[-1]), LEARN))) if some else []
+            for part in (some[a:b] for a, b in zip([0, *cuts], [*cuts, len(some)]) if a < b):
+                self.learn(part)
+        out = [list(map(known.__getitem__, units)) for units in cut]
+        for u in new:
+            if len(u) > LONG_UNIT:
+                del known[u]
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -281,12 +366,9 @@ def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def _worked_out(texts: list[str | None], know: Both, radixes: int, whole: bool):
     """Documents' columns, the batch's links, and its runs by radix."""
-    if len(know.number) > MEMORY or len(know.pairs) > 20 * MEMORY or len(know.written) > 2 * MEMORY:
-        know.forget()
     units: list[int] = []
     ends, told = [], []
-    for text in texts:
-        mine = know.units(text) if text else []
+    for mine in know.units(texts):
         if not all(map(know.counts["good"].__getitem__, mine)):
             mine = []
         units += mine
@@ -294,6 +376,7 @@ def _worked_out(texts: list[str | None], know: Both, radixes: int, whole: bool):
         groups = b";".join(map(know.written.__getitem__, mine)) if mine else b""
         told.append(groups if whole or not mine else hashlib.sha256(groups).hexdigest().encode())
     u, ends = np.array(units, dtype=np.int64), np.array(ends, dtype=np.int64)
+    know.used(u)
     table = {n: np.frombuffer(c, dtype=np.int64) if len(c) else np.zeros(0, np.int64) for n, c in know.counts.items()}
     columns = [_sums(table[n][u], ends) for n in ("first", "second", "groups", "links")]
     doc = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))
@@ -301,13 +384,10 @@ def _worked_out(texts: list[str | None], know: Both, radixes: int, whole: bool):
     many = max(1, len(know.written))
     once, again = np.unique(doc * many + u, return_counts=True)
     doc, u = once // many, once % many
-    begin = np.frombuffer(know.ends, dtype=np.int64)
-    size = begin[u + 1] - begin[u]
-    spot = np.repeat(begin[u] - np.cumsum(size) + size, size) + np.arange(size.sum())
+    spot, size = _stretches(know.ends, u)
     pair = np.frombuffer(know.pairs, dtype=np.int64)[spot] if len(spot) else np.zeros(0, np.int64)
     times = np.frombuffer(know.times, dtype=np.int64)[spot] * np.repeat(again, size) if len(spot) else pair
-    held, place = np.unique(pair, return_inverse=True)
-    keys = np.frombuffer(know.keys, dtype=np.int64)[held] if len(held) else held
+    keys, place = np.unique(pair, return_inverse=True)
     part = radix_of(keys, radixes)
     order = np.lexsort((keys, part))
     rank = np.empty(len(order), dtype=np.int64)
@@ -352,6 +432,9 @@ def _runs(docs: DataFrame, first: str, second: str, radixes: int, whole: bool) -
                 ],
                 schema=ROWS,
             )
+        # the worker goes on with other stages
+        both(first, second).forget()
+        give_back_memory()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return settled(texts.mapInArrow(run, ROW_TYPES), "token-runs")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -36,6 +38,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def give_back_memory() -> None:
+    """Return what a Python worker has freed to the machine: workers live on and take the next stage's tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Cut batches into runs of rows of about ``most`` bytes of one text column, so that working
     memory follows the bytes and not the row count. A longer single text is a run of its own."""

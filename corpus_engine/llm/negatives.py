@@ -30,6 +30,7 @@ PIVOTS = 1024  # at most
 SAMPLE = 8192  # candidates from which pivots are taken, at most
 BASE = 1.5  # from level to level the radius shrinks by this
 LEAF = 64  # rows that are not divided any more
+FEW = 24  # rows that are not worth a node
 CHUNK = 1024  # rows of a leaf scored at once
 LEAST, MOST = -(1 << 62), 1 << 62
 
@@ -87,8 +88,8 @@ def cover_tree(x: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, float, i
     """An order of the rows of ``x`` and the nodes, parents first: ``centre, parent, reach, first, end``.
 
     A node holds the rows ``first`` to ``end`` of the order, none farther than ``reach`` from its centre
-    (a row number of ``x``). Nodes of one row are not written: such rows follow their parent's other
-    rows as one leaf, which has the parent's centre and its own reach.
+    (a row number of ``x``). Nodes of less than ``FEW`` rows are not written: such rows of a parent are one
+    leaf together, which has the parent's centre and its own reach.
     """
     order: list[np.ndarray] = []
     nodes: list[tuple[int, int, float, int, int]] = []
@@ -109,10 +110,10 @@ def cover_tree(x: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, float, i
         while len(parts) == 1:
             level /= BASE
             parts = _net(x, centre, rows, level)
-        loose = [c for c, r in parts if len(r) == 1]
+        loose = [r for _, r in parts if len(r) < FEW]
         if loose:
-            todo.append((centre, np.array(loose), me, None))
-        todo += [(c, r, me, level) for c, r in parts if len(r) > 1]
+            todo.append((centre, np.concatenate(loose), me, None))
+        todo += [(c, r, me, level) for c, r in parts if len(r) >= FEW]
     return np.concatenate(order), nodes
 
 
@@ -177,13 +178,11 @@ class _Best:
             mine[who, w] = new[keep].reshape(len(who), k)
 
 
-def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of integer rows, without rounding."""
-    if not a.size or not b.size:
-        return np.zeros((len(a), len(b)), dtype=np.int64)
-    if float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1] < 2.0**53:
-        return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
-    return a.astype(np.int64) @ b.T.astype(np.int64)
+def _exact(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two sets of integer rows in a type in which their inner products are not rounded."""
+    if not a.size or not b.size or float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1] < 2.0**53:
+        return a.astype(np.float64), b.astype(np.float64)
+    return a.astype(np.int64), b.astype(np.int64)
 
 
 @dataclass
@@ -209,6 +208,7 @@ class Tree:
         """For every query and window the ``k`` rows of highest score between ``low`` and ``high``, not
         below ``floor``, of the query's label (``same``) or of others; ties by smallest id."""
         best = _Best.none(len(queries), low.shape[1], k)
+        asked, known = _exact(queries, self.x)
         least = np.maximum(low, floor)
         fq = queries.astype(np.float64)
         both = self.longest**2 + (fq * fq).sum(axis=1)[:, None]
@@ -252,24 +252,26 @@ class Tree:
             if not open_[rows, pick].any():
                 break
             for leaf in np.unique(pick[go]):
-                self._verify(best, queries, label, np.flatnonzero(go & (pick == leaf)), leaves[leaf], low, high, least, k, same)
+                who = np.flatnonzero(go & (pick == leaf))
+                self._verify(best, asked[who], known, label[who], who, leaves[leaf], high[who], least[who], k, same)
         return best
 
-    def _verify(self, best, queries, label, who, node, low, high, least, k, same) -> None:
+    def _verify(self, best, asked, known, label, who, node, high, least, k, same) -> None:
+        """Score all rows of a leaf for queries ``who``."""
         _, _, _, begin, end = self.nodes[node]
         for a in range(begin, end, CHUNK):
             rows = slice(a, min(a + CHUNK, end))
-            score = _exact(queries[who], self.x[rows])
-            fits = (self.label[rows][None, :] == label[who][:, None]) == same
-            for w in range(low.shape[1]):
-                now = np.maximum(least[who, w], best.score[who, w, k - 1])
-                ok = fits & (score >= now[:, None]) & (score <= high[who, w][:, None])
-                if score.shape[1] > k:
+            score = asked @ known[rows].T
+            score[(self.label[rows][None, :] == label[:, None]) != same] = LEAST
+            for w in range(high.shape[1]):
+                now = np.maximum(np.maximum(least[:, w], best.score[who, w, k - 1]), LEAST + 1)
+                ok = (score >= now[:, None]) & (score <= high[:, w][:, None])
+                if score.shape[1] > k and np.count_nonzero(ok) > 8 * k * len(who):
                     # with ties at the k-th place, so that ids decide
                     kth = np.partition(np.where(ok, score, LEAST), score.shape[1] - k, axis=1)[:, -k]
                     ok &= score >= kth[:, None]
                 q, p = np.nonzero(ok)
-                best.merge(who[q], w, score[q, p], self.first[a + p], a + p)
+                best.merge(who[q], w, score[q, p].astype(np.int64), self.first[a + p], a + p)
 
 
 def _read_tree(rows: pd.DataFrame) -> tuple[Tree, pd.DataFrame]:
@@ -297,7 +299,9 @@ def _meeting(k: int, same: bool):
         tree, rows = _read_tree(rows)
         # beyond its own windows a query has empty ones
         low, high, floor = _padded(asking["low"], 1), _padded(asking["high"], 0), _padded(asking["floor"], LEAST)
-        best = tree.search(_matrix(asking["v"]), asking["label"].to_numpy(), low, high, floor, k, same)
+        codes, _ = pd.factorize(pd.concat([rows["label"], asking["label"]]))
+        tree.label = codes[: len(rows)]
+        best = tree.search(_matrix(asking["v"]), codes[len(rows) :], low, high, floor, k, same)
         q, w, at = np.nonzero(best.score > LEAST)
         place = best.place[q, w, at]
         return pd.DataFrame(

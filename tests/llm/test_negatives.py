@@ -127,7 +127,7 @@ def test_a_search_skips_nodes(monkeypatch):
     tree = negatives.Tree(x[order], np.array(["a"] * 1000), np.arange(1000), [(int(place[c]), *r) for c, *r in nodes], longest)
     read = []
     inner = tree._verify
-    tree._verify = lambda best, q, l, who, node, *rest: (read.append(len(who) * (nodes[node][4] - nodes[node][3])), inner(best, q, l, who, node, *rest))
+    tree._verify = lambda best, q, x, l, who, node, *rest: (read.append(len(who) * (nodes[node][4] - nodes[node][3])), inner(best, q, x, l, who, node, *rest))
     queries = x[::100]
     n = len(queries)
     full = lambda v: np.full((n, 1), v)
