@@ -38,12 +38,12 @@ from corpus_engine.session import settled
 FIRST = public_tokenizers.path("byte_bpe_50k.json")
 SECOND = public_tokenizers.path("piece_bpe_32k.model")
 
-BATCH_BYTES = 1_500_000  # text worked out at once; a longer text is a batch of its own
-MEMORY = 150_000  # units remembered; only speed depends on it
-LEARN = 200_000  # characters of new units worked out at once; a longer unit by itself
+BATCH_BYTES = 700_000  # text worked out at once; a longer text is a batch of its own
+MEMORY = 80_000  # units remembered; only speed depends on it
+LEARN = 100_000  # characters of new units worked out at once; a longer unit by itself
 SMALL_GROUP = 64  # links of a group up to which they are written one by one
 LONG_UNIT = 200  # characters of a unit beyond which it is not remembered
-RADIX_BYTES = 64_000_000  # text for each radix, up to RADIXES
+RADIX_BYTES = 24_000_000  # text for each radix, up to RADIXES
 RADIXES = 512
 FAN_IN = 256  # runs merged at once
 BLOCK = 65_536  # pairs of a block of a run

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +39,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+ASIDE = "columns_aside"
+
+
+def aside(docs: DataFrame, *needed: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """The columns that an operator works with and all others packed into one, and how to unpack them again, so
+    that no name that the operator uses inside can be the name of a column it only carries."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in needed]
+    narrow = docs.select(*needed, F.struct(*others or [F.lit(0).alias("none")]).alias(ASIDE))
+
+    def widen(rows: DataFrame, *more: str) -> DataFrame:
+        return rows.select(*(F.col(c) if c in needed else F.col(f"{ASIDE}.`{c}`").alias(c) for c in docs.columns), *more)
+
+    return narrow, widen
+
+
 def give_back_memory() -> None:
     """Return what a Python worker has freed to the machine: workers live on and take the next stage's tasks."""
     pa.default_memory_pool().release_unused()
