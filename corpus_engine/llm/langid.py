@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from corpus_engine.llm.base import slices
+from corpus_engine.llm.base import give_back_memory, slices
 from corpus_engine.llm.linear import calibration, held_back, margins, svm
 from corpus_engine.llm.ngrams import Grams
 from corpus_engine.llm.sample import per_class
@@ -155,13 +155,14 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
     """Columns ``keep`` of every row of ``docs``, with ``lang_pred, score`` from its ``text`` alone.
 
     ``und`` with score 0 for a text that is null or has no letter, and for all where the model
-    knows no language. Repeated rows are judged each for itself; an empty table gives no rows.
+    knows no language. Repeated rows are judged each for itself; an empty table gives no rows. ``keep`` may not
+    hold ``lang_pred`` or ``score``; see ``base.aside`` for rows that have such columns.
     """
     names = np.array([*model.languages, UNKNOWN], dtype=object)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "judged_text", 1_000_000):
-            texts = batch.column(len(keep))
+        for batch in slices(batches, "text", 1_000_000):
+            texts = batch.column(batch.schema.get_field_index("text"))
             letters = np.array([t is not None and any(map(str.isalpha, t)) for t in texts.to_pylist()], dtype=bool)
             answer, score = np.full(len(texts), len(model.languages)), np.zeros(len(texts))
             if model.languages:
@@ -171,7 +172,12 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
                 answer, score = np.where(letters, found, answer), np.where(letters, sure, 0.0)
             columns = [*batch.columns[: len(keep)], pa.array(names[answer], pa.string()), pa.array(score)]
             yield pa.RecordBatch.from_arrays(columns, [*keep, "lang_pred", "score"])
+        give_back_memory()
 
     kept = docs.select(*keep)
     schema = StructType([*kept.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return docs.select(*keep, F.col("text").cast("string").alias("judged_text")).mapInArrow(run, schema)
+    # a text that is kept anyway is handed over once
+    own = F.col("text").cast("string").alias("text")
+    if "text" in keep and docs.schema["text"].dataType == StringType():
+        return kept.mapInArrow(run, schema)
+    return docs.select(*(F.col(c).alias(f"kept_{k}") for k, c in enumerate(keep)), own).mapInArrow(run, schema)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpus_engine.llm.base import slices
+from corpus_engine.llm.base import aside, slices
 from corpus_engine.llm.tokens import words
 from corpus_engine.session import settled
 
@@ -218,9 +218,11 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     Every piece lies whole in one sequence; a sequence's pieces follow each other from offset 0
     without gaps, at most ``capacity`` in all. Pieces longer than that are an error. Ties are broken
-    by row and piece. An empty table gives an empty result.
+    by row and piece. An empty table gives an empty result. Columns of ``parts`` that are called like the new
+    ones are replaced.
     """
-    parts = settled(parts, "packing-pieces")
+    parts = settled(parts.drop("sequence_id", "offset"), "packing-pieces")
+    whole, widen = aside(parts, "row", "piece", "length")
     longest, total = parts.agg(F.max("length"), F.count("*")).first()
     if longest is not None and longest > capacity:
         raise ValueError(f"a piece of {longest} does not fit into {capacity}")
@@ -247,4 +249,6 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     placed = done[0]
     for more in done[1:]:
         placed = placed.unionByName(more)
-    return parts.join(placed, ["row", "piece"])
+    placed = placed.withColumnsRenamed({"row": "its_row", "piece": "its_piece"})
+    here = (F.col("row") == F.col("its_row")) & (F.col("piece") == F.col("its_piece"))
+    return widen(whole.join(placed, here), "sequence_id", "offset")

@@ -22,11 +22,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpus_engine.llm.base import slices
+from corpus_engine.llm.base import give_back_memory, slices
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 MARK = "▁"
-MEMORY = 500_000  # units remembered; only speed depends on it
+MEMORY = 100_000  # units remembered; only speed depends on it
+LEARN = 150_000  # characters of new units worked out at once; a longer unit by itself
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -46,11 +47,6 @@ class Vocabulary:
         self.sizes = np.array([len(t) for t in self.texts])
         self.longest = int(self.sizes.max())
         self.bytes = np.array([model.piece_to_id(f"<0x{b:02X}>") for b in range(256)], dtype=np.uint32)
-        self.written = [b""] * size
-        for i in plain:
-            self.written[i] = model.id_to_piece(i).replace(MARK, " ").encode()
-        for b, i in enumerate(self.bytes.tolist()):
-            self.written[i] = bytes([b])
         self._learn()
 
     def _learn(self) -> None:
@@ -241,15 +237,29 @@ class Encoder:
             self.known.clear()
             new = used
         new = sorted(new)
-        if new:
-            self.learn(new)
+        size = np.cumsum([len(u) for u in new])
+        cuts = np.unique(np.searchsorted(size, np.arange(LEARN, int(size[-1]), LEARN))) if new else []
+        for a, b in zip([0, *cuts], [*cuts, len(new)], strict=True):
+            if a < b:
+                self.learn(new[a:b])
         return [b"".join(map(self.known.__getitem__, units)) for units in split]
 
-    def text(self, ids: bytes) -> str:
-        """The text of ids; the leading space that encoding adds is taken off."""
-        written = self.vocabulary.written
-        found = b"".join([written[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
-        return found.decode("utf-8", "replace").removeprefix(" ")
+
+def written_pieces(model: sentencepiece.SentencePieceProcessor) -> list[bytes]:
+    """What each id stands for: pieces with spaces for word marks, and single bytes."""
+    written = [b""] * model.get_piece_size()
+    for i in range(len(written)):
+        if model.is_byte(i):
+            written[i] = bytes([int(model.id_to_piece(i)[3:5], 16)])
+        elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
+            written[i] = model.id_to_piece(i).replace(MARK, " ").encode()
+    return written
+
+
+def text_of(ids: bytes, written: list[bytes]) -> str:
+    """The text of ids; the leading space that encoding adds is taken off."""
+    found = b"".join(map(written.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+    return found.decode("utf-8", "replace").removeprefix(" ")
 
 
 @lru_cache(maxsize=2)
@@ -258,6 +268,12 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+@lru_cache(maxsize=2)
+def decoder(path: str) -> list[bytes]:
+    """What ids stand for; a worker that only decodes has no more than this."""
+    return written_pieces(sentencepiece.SentencePieceProcessor(model_file=path))
+
+
 def encode(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """``doc_id, ids`` of every row of ``docs`` (``doc_id, text``), for the whole text.
 
@@ -267,10 +283,13 @@ def encode(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 2_000_000):
+        for batch in slices(batches, "text", 1_000_000):
             texts = batch.column(1).to_pylist()
             ids = [None if t is None else i for t, i in zip(texts, encoder(path).batch(texts), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+        # the worker goes on with other stages
+        encoder(path).known.clear()
+        give_back_memory()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, ids binary"
@@ -281,9 +300,9 @@ def decode(encoded: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """``encoded`` (``doc_id, ids``) with ``text``: the text with word marks as spaces. Null ids give null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "ids", 8_000_000):
+        for batch in slices(batches, "ids", 2_000_000):
             ids = batch.column(1).to_pylist()
-            texts = [None if i is None else encoder(path).text(i) for i in ids]
+            texts = [None if i is None else text_of(i, decoder(path)) for i in ids]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["doc_id", "ids", "text"]
             )

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpus_engine.llm.base import slices
+from corpus_engine.llm.base import aside, slices
 from corpus_engine.session import settled
 
 KINDS = ("email", "ip", "card", "phone", "id")
@@ -330,8 +330,9 @@ def redact(docs: DataFrame, **bounds: int) -> DataFrame:
         return pd.Series([_marked(t, s) for t, s in zip(text, spans, strict=True)], dtype=object)
 
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))
-    joined = _keyed(docs).join(added, same, "left")
-    return joined.withColumn("text", marked(F.col("text").cast("string"), "added")).select(docs.columns)
+    narrow, widen = aside(docs, "doc_id", "text")
+    joined = _keyed(narrow).join(added, same, "left")
+    return widen(joined.withColumn("text", marked(F.col("text").cast("string"), "added")))
 
 
 def _marked(text: str | None, added) -> str | None:

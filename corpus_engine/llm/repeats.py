@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpus_engine.llm.base import slices
+from corpus_engine.llm.base import aside, slices
 from corpus_engine.llm.ngrams import flat
 from corpus_engine.llm.suffixes import suffix_arrays
 from corpus_engine.session import settled
@@ -422,6 +422,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, **bounds: int) -> Data
     def readable(kept: pd.Series) -> pd.Series:
         return kept.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
 
-    joined = docs.join(lost, key_of(F.col("text")) == F.col("lost_key"), "left")
+    narrow, widen = aside(docs, "text")
+    joined = narrow.join(lost, key_of(F.col("text")) == F.col("lost_key"), "left")
     text = F.when(F.col("lost_key").isNull(), F.col("text").cast("string")).otherwise(readable("lost_kept"))
-    return joined.withColumn("text", text).select(docs.columns)
+    return widen(joined.withColumn("text", text))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpus_engine.llm.base import slices
+from corpus_engine.llm.base import aside, slices
 from corpus_engine.llm.components import connected
 from corpus_engine.session import settled
 
@@ -296,11 +296,12 @@ def keep_one(docs: DataFrame, text: str = "text", bits: int = MAX_BITS, shingle:
     Of rows that repeat that doc_id, the text with the smallest hash stays, once. Classes without
     any doc_id keep one row as well.
     """
-    found = near_duplicates(docs, text, bits, shingle)
+    narrow, widen = aside(docs, "doc_id", text)
+    found = near_duplicates(narrow, text, bits, shingle)
     classes = found.withColumn("class", F.coalesce("component_id", "fp")).withColumn("nameless", F.isnull("component_id"))
     first = F.min_by(F.struct("doc_id", "text_hash"), F.struct(F.isnull("doc_id"), "doc_id", "text_hash"))
     kept = settled(classes.groupBy("nameless", "class").agg(first.alias("kept")).select("kept.*"), "simhash-kept")
     kept = kept.withColumnsRenamed({"doc_id": "kept_id", "text_hash": "kept_hash"})
-    hashed = docs.withColumn("kept_text", F.xxhash64(F.col(text).cast("string")))
+    hashed = narrow.withColumn("kept_text", F.xxhash64(F.col(text).cast("string")))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")) & (F.col("kept_text") == F.col("kept_hash"))
-    return hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "kept_text"]).select(docs.columns)
+    return widen(hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "kept_text"]))
