@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpus_engine.llm import langid, packing, pii, repeats, simhash
+from corpus_engine.llm.base import aside
 from corpus_engine.session import scratch_path
 
 
@@ -21,9 +22,10 @@ def _counted(docs: DataFrame) -> DataFrame:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language go on; those without one (no text, no letter) go. A missing ``lang``
     is filled in with the prediction."""
-    found = langid.identify(docs, langid.train(docs), tuple(docs.columns))
+    narrow, widen = aside(docs, "doc_id", "text", "lang")
+    found = langid.identify(narrow, langid.train(narrow), tuple(narrow.columns))
     kept = found.where(F.col("lang_pred") != langid.UNKNOWN)
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+    return widen(kept.withColumn("lang", F.coalesce("lang", "lang_pred")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
