@@ -26,8 +26,8 @@ from corpus_engine.llm.base import give_back_memory, slices
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 MARK = "▁"
-MEMORY = 100_000  # units remembered; only speed depends on it
-LEARN = 150_000  # characters of new units worked out at once; a longer unit by itself
+MEMORY = 350_000  # units remembered; only speed depends on it
+LEARN = 600_000  # characters of new units worked out at once; a longer unit by itself
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -234,8 +234,8 @@ class Encoder:
         used = {u for units in split for u in units}
         new = used - self.known.keys()
         if len(self.known) + len(new) > MEMORY:
-            self.known.clear()
-            new = used
+            # what this batch uses is what the next ones will use most
+            self.known = {u: self.known[u] for u in used - new}
         new = sorted(new)
         size = np.cumsum([len(u) for u in new])
         cuts = np.unique(np.searchsorted(size, np.arange(LEARN, int(size[-1]), LEARN))) if new else []
@@ -283,12 +283,10 @@ def encode(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1_000_000):
+        for batch in slices(batches, "text", 2_000_000):
             texts = batch.column(1).to_pylist()
             ids = [None if t is None else i for t, i in zip(texts, encoder(path).batch(texts), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
-        # the worker goes on with other stages
-        encoder(path).known.clear()
         give_back_memory()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
