@@ -26,8 +26,8 @@ from corpus_engine.llm.base import give_back_memory, slices
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 MARK = "▁"
-MEMORY = 350_000  # units remembered; only speed depends on it
-LEARN = 600_000  # characters of new units worked out at once; a longer unit by itself
+MEMORY = 550_000  # units remembered; only speed depends on it
+LEARN = 900_000  # characters of new units worked out at once; a longer unit by itself
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -46,6 +46,9 @@ class Vocabulary:
         self.rank = {t: r for r, t in enumerate(self.texts)}
         self.sizes = np.array([len(t) for t in self.texts])
         self.longest = int(self.sizes.max())
+        self.points = np.zeros((len(self.texts), self.longest), dtype=np.uint32)  # characters of each piece, zeros after it
+        for r, t in enumerate(self.texts):
+            self.points[r, : len(t)] = np.frombuffer(t.encode("utf-32-le"), dtype=np.uint32)
         self.bytes = np.array([model.piece_to_id(f"<0x{b:02X}>") for b in range(256)], dtype=np.uint32)
         self._learn()
 
@@ -139,19 +142,19 @@ class Encoder:
         self.vocabulary = Vocabulary(path)
         self.known: dict[str, bytes] = {}
 
-    def _match(self, codes: np.ndarray, ends: np.ndarray, code_of: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-        """``start, rank`` of every occurrence of every piece."""
+    def _match(self, codes: np.ndarray, ends: np.ndarray, alphabet: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``start, rank`` of every occurrence of every piece; codes count the ``alphabet`` from 1."""
         vocabulary, width = self.vocabulary, self.vocabulary.longest
         order, words = _suffixes(codes, ends, width)
-        ranks = [r for r, t in enumerate(vocabulary.texts) if vocabulary.made[r] and all(c in code_of for c in t)]
-        if not ranks:
+        points = vocabulary.points
+        at = np.minimum(np.searchsorted(alphabet, points), len(alphabet) - 1)
+        ranks = np.flatnonzero(((alphabet[at] == points) | (points == 0)).all(axis=1) & vocabulary.made)
+        if not len(ranks):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        table = np.zeros((len(ranks), width), dtype=np.uint64)
-        for k, r in enumerate(ranks):
-            table[k, : len(vocabulary.texts[r])] = [code_of[c] for c in vocabulary.texts[r]]
+        table = np.where(points[ranks] > 0, at[ranks] + 1, 0).astype(np.uint64)
         bits = 8 if codes.max() < 255 else 16 if codes.max() < 65535 else 32
         each, full = 64 // bits, (1 << bits) - 1
-        lengths = np.array([len(vocabulary.texts[r]) for r in ranks])
+        lengths = vocabulary.sizes[ranks]
         least, most = [], []
         for start in range(0, width, each):
             a, b = np.zeros(len(ranks), np.uint64), np.zeros(len(ranks), np.uint64)
@@ -165,7 +168,7 @@ class Encoder:
         low, high = _bounds(words, least), _bounds(words, most)
         count = high - low
         begin = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        return order[begin], np.repeat(np.array(ranks), count)
+        return order[begin], np.repeat(ranks, count)
 
     def learn(self, units: list[str]) -> None:
         """Encode new units together and remember their ids as bytes."""
@@ -176,7 +179,7 @@ class Encoder:
         sizes = np.array([len(u) for u in units])
         finish = np.cumsum(sizes)
         begins = finish - sizes
-        start, rank = self._match(codes + 1, np.repeat(finish, sizes), {c: i + 1 for i, c in enumerate(letters)})
+        start, rank = self._match(codes + 1, np.repeat(finish, sizes), alphabet)
         # A character outside the vocabulary is a piece of its own, which joins with nothing.
         strange = np.flatnonzero(np.array([c not in vocabulary.rank for c in letters])[codes])
         start = np.concatenate([start, strange])
