@@ -1,6 +1,7 @@
 """Personal data: plain patterns, and identifiers discovered through the contexts of what they find.
 
-The plain patterns give seeds. Each seed's two words on the left are a lexical pattern. Patterns
+The plain patterns give seeds, and so do long values with a digit that are assigned to names of secrets.
+Each seed's two words on the left, or the name it is assigned to, are a lexical pattern. Patterns
 also meet other tokens that look like identifiers. On the graph of patterns and values Spark
 scores both in turns: a pattern is as good as the values it meets, a value as good as its best
 pattern. Values met by patterns of high confidence become seeds themselves and give new patterns,
@@ -169,6 +170,12 @@ def candidates(text: str | None, base: list[tuple[str, int, int]]) -> list[tuple
     return out
 
 
+# What is assigned to the name of a secret is met by that name: ``token = "...``, ``api_key: ...``. Values with a
+# digit and so many characters are seeds of the method's own kind; shorter ones are met by the words on their left.
+ASSIGNED = re.compile(r"""(password|passwd|secret|token|api[_-]?key|access[_-]?key)["']?[ \t]{0,3}[:=][ \t]{0,3}["']?\Z""", re.I | re.A)
+SECRET_NAME = "^(password|passwd|secret|token|api[_-]?key|access[_-]?key) =$"
+SECRET_CHARS = 8
+
 CAPITALS = re.compile(r"[A-Z]{1,4}")
 GROUP = re.compile(r"[0-9]{1,19}|[A-Za-z0-9]{1,12}|[A-Za-z0-9]{1,12}(?:-[A-Za-z0-9]{1,12})+")
 
@@ -188,7 +195,10 @@ def _close(left: _Left, run: list[tuple[int, int, int]], out: list) -> None:
             if CAPITALS.fullmatch(text, start, run[i][1]) or CAPITALS.fullmatch(text, run[j][0], end):
                 continue
             own = j == len(run) - 1 and i == 0 if whole else True
-            pattern = left.context(k, start) if own else None
+            pattern = None
+            if own:
+                name = ASSIGNED.search(text, max(0, start - 48), start) if end - start >= SECRET_CHARS else None
+                pattern = f"{name[1].lower()} =" if name else left.context(k, start)
             out.append((start, end, pattern, text[start:end], False))
     run.clear()
 
@@ -288,10 +298,14 @@ def discover(scanned: DataFrame, min_confidence: float = MIN_CONFIDENCE, **bound
     """``doc_id, text_hash, added``: spans of kind ``id`` that patterns of high confidence find, and
     all other occurrences of the values promoted."""
     met = scanned.select("doc_id", "text_hash", F.inline("met"))
-    base = met.groupBy("value").agg(F.max("seed").alias("seed"))
-    base = settled(base.where("seed").select("value").distinct(), "pii-seeds").withColumn("base", F.lit(True))
-    edges = met.where(F.col("pattern").isNotNull()).select("pattern", "value").distinct().join(base, "value", "left")
-    edges = edges.select("pattern", "value", F.col("base").isNotNull().alias("seed"), F.col("base").isNotNull().alias("base"))
+    secret = F.col("pattern").rlike(SECRET_NAME) & (F.length("value") >= SECRET_CHARS) & F.col("value").rlike("[0-9]")
+    seeds = met.groupBy("value").agg(F.max("seed").alias("base"), F.max(F.coalesce(secret, F.lit(False))).alias("own"))
+    seeds = settled(seeds.where(F.col("base") | F.col("own")), "pii-seeds")
+    edges = met.where(F.col("pattern").isNotNull()).select("pattern", "value").distinct().join(seeds, "value", "left")
+    none = F.lit(False)
+    edges = edges.select(
+        "pattern", "value", F.coalesce(F.col("base") | F.col("own"), none).alias("seed"), F.coalesce("base", none).alias("base")
+    )
     good, promoted = bootstrap(edges, min_confidence, **bounds)
     rest = met.where(~F.col("seed"))
     promoted = settled(promoted, "pii-promoted")

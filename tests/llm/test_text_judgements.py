@@ -185,6 +185,15 @@ def test_discovered_values_give_new_patterns_and_are_found_everywhere(spark):
     }
 
 
+def test_secrets_are_seeds_of_their_own(spark):
+    rows = [(i, f'call it with token = "{i:04d}ab77{i}9c1de" then go') for i in range(8)]
+    rows += [(20 + i, f"note API_Key: {i:04d}xyz{i}12345 end") for i in range(2)]
+    rows += [(30, 'the value "0003ab7739c1de" stands alone'), (40, "the token: 12 items"), (41, "a token of thanks in 2019"), (42, "passwords=none12345x")]
+    got = {r.doc_id: [dict(rows)[r.doc_id][s.start : s.end] for s in r.added] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[3] == got[30] == ["0003ab7739c1de"] and got[20] == ["0000xyz012345"]
+    assert all(got[i] for i in range(8)) and not any(got[i] for i in (40, 41, 42))
+
+
 def test_candidates_span_joined_groups():
     def found(text):
         return {(v, p) for _, _, p, v, seed in pii.candidates(text, pii.base_spans(text)) if p and not seed}
