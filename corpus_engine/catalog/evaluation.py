@@ -12,6 +12,8 @@ from corpus_engine.catalog.base import ARTICLES, articles, normalize_sql, regist
 from corpus_engine.functions.text import normalize_text
 from corpus_engine.operators import metrics as mt
 from corpus_engine.operators.quality import is_subset
+from corpus_engine.session import scratch_path
+from corpus_engine.sources import tables as tb
 
 LANGS = ("de", "en", "es", "fr")
 TYPICAL = {
@@ -206,3 +208,29 @@ def predictions_outside_labels(spark, sf):
     preds = predictions(spark, sf)
     known = preds.select(F.col("label").alias("prediction"))
     return is_subset(preds, known, "prediction")
+
+
+@register(
+    "I8",
+    with_sql(
+        SCORES,
+        """, accuracy AS (SELECT round(avg(CASE WHEN label = prediction THEN 1 ELSE 0 END), 6) AS accuracy FROM preds),
+        f1 AS (SELECT round(avg(f1), 6) AS f1_macro, round(sum(f1 * support) / sum(support), 6) AS f1_weighted FROM scores)
+        SELECT 'votes-1' AS run_id, 'vote' AS run_name, '4' AS classes, accuracy, f1_macro, NULL::DOUBLE AS f1_weighted FROM accuracy, f1
+        UNION ALL SELECT 'votes-2', 'vote_eval', '4', NULL, f1_macro, f1_weighted FROM f1""",
+    ),
+)
+def logged_vote_runs(spark, sf):
+    """Two runs of the votes logged with parameters and metrics, another experiment's among them, and listed."""
+    path = scratch_path(spark, "runs")
+    preds = predictions(spark, sf)
+    accuracy, scores = mt.accuracy(preds).first()[0], mt.f1(preds).first()
+    params = {"model": "votes", "classes": len(LANGS)}
+    tb.append_run(spark, path, "votes-1", "languages", "vote", params, {"accuracy": accuracy, "f1_macro": scores[0]})
+    tb.append_run(spark, path, "other", "topics", "vote", params, {"accuracy": 1.0})
+    tb.append_run(spark, path, "votes-2", "languages", "vote_eval", params, {"f1_macro": scores[0], "f1_weighted": scores[1]})
+    runs = tb.list_runs(spark, path, "languages")
+    numbers = {n: F.round(F.try_element_at("metrics", F.lit(n)), 6) for n in ("accuracy", "f1_macro", "f1_weighted")}
+    return runs.select(
+        "run_id", "run_name", F.try_element_at("params", F.lit("classes")).alias("classes"), *(c.alias(n) for n, c in numbers.items())
+    )

@@ -124,6 +124,22 @@ def important_words_of_biggest(spark, sf):
     return ex.importance_of_biggest(coef, labelled, none, topics=2, n=12)
 
 
+@register(
+    "I9 I6",
+    with_sql(
+        GIVEN,
+        """, two AS (SELECT e.term AS word, e.weight - f.weight AS weight FROM coef e JOIN coef f USING (term_id) WHERE e.label_idx = 1 AND f.label_idx = 3),
+        sides AS ((SELECT *, '+' AS sign FROM two WHERE weight > 0 ORDER BY weight DESC, word LIMIT 15) UNION ALL
+                  (SELECT *, '-' FROM two WHERE weight < 0 ORDER BY weight, word DESC LIMIT 15))
+        SELECT row_number() OVER (ORDER BY weight DESC, word)::INTEGER AS rank, word, round(weight, 6) AS weight, sign FROM sides""",
+    ),
+)
+def words_for_english_or_french(spark, sf):
+    """Two classes: the words that speak for English against French and the other way round, with signs."""
+    found = ex.signed_words(given(spark, sf)[1], LANGS.index("en"), LANGS.index("fr"))
+    return found.withColumn("weight", F.round("weight", 6))
+
+
 BACKGROUND = """,
 bg AS (SELECT id FROM prepared ORDER BY md5('42:' || id) LIMIT 100),
 means AS (SELECT term_id, sum(tfidf) / 100 AS mean_bg FROM f WHERE id IN (SELECT id FROM bg) GROUP BY 1)"""
@@ -288,6 +304,9 @@ class Trained:
         self.test = self.data.filter("is_test")
 
 
+#: Parts of the gradient are sums over all training rows, to each of which a row adds 1 at most.
+GRADIENT = 0.001
+
 _TRAINED: dict[tuple[str, str], Trained] = {}
 
 
@@ -371,6 +390,49 @@ def class_coefficients(spark, sf):
     return md.coef_long(classifier(spark, sf).coef)
 
 
+def _gradients(spark, t, model, C):
+    """``label_idx, at_optimum`` on the training rows: no part of the gradient is more than ``GRADIENT`` for each row."""
+    ids = t.split.filter("NOT is_test").select("id", "label_idx")
+    docs = t.docs.join(ids, "id", "left_semi").select("id", "text_clean")
+    rows = settled(ft.tfidf(docs, t.vocab), "training-rows")
+    coef = md.coef_rows(spark, model).withColumn("term", F.lit(""))
+    scored = sc.score_rows(rows, coef, model.interceptVector.toArray().tolist(), docs)
+    found = md.loss_gradient(rows, ids, scored.select("id", "probability"), coef, C)
+    return found.select("label_idx", (F.col("largest") < GRADIENT * ids.count()).alias("at_optimum"))
+
+
+@register("I2", "SELECT unnest([0, 1, 2, 3])::INTEGER AS label_idx, true AS at_optimum")
+def logistic_conditions(spark, sf):
+    """Is the classifier at the optimum of its penalised loss? The gradient, from stored tables, nearly vanishes."""
+    t = classifier(spark, sf)
+    return _gradients(spark, t, t.model, 5.0)
+
+
+@register("I4", "SELECT c AS \"C\", k::INTEGER AS label_idx, true AS at_optimum FROM (SELECT unnest([0.01, 1.0, 50.0]) AS c) CROSS JOIN (SELECT unnest([0, 1, 2, 3]) AS k)")
+def sweep_conditions(spark, sf):
+    """The same for three strengths of the sweep."""
+    t = trained(spark, sf)
+    train = t.train.persist()
+    sides = []
+    for c in (0.01, 1.0, 50.0):
+        found = _gradients(spark, t, md.train_logistic(train, C=c, max_iter=1000), c)
+        sides.append(settled(found.select(F.lit(c).alias("C"), "label_idx", "at_optimum"), "gradients"))
+    train.unpersist()
+    return sides[0].unionByName(sides[1]).unionByName(sides[2])
+
+
+@register("A8", with_sql(PREPARED, "SELECT id, true AS same FROM prepared"))
+def stored_classifier_predicts_alike(spark, sf):
+    """Every article's prediction by the classifier as trained and as stored and opened again."""
+    t = classifier(spark, sf)
+    path = scratch_path(spark, "classifier")
+    md.save_model(t.model, t.labels, path)
+    model, _ = md.load_model(spark, path)
+    fresh = md.predict(t.model, t.vectors).select("id", F.col("prediction").alias("a"), F.col("probability").alias("p"))
+    stored = md.predict(model, t.vectors).select("id", F.col("prediction").alias("b"), F.col("probability").alias("q"))
+    return fresh.join(stored, "id").select("id", ((F.col("a") == F.col("b")) & (F.col("p") == F.col("q"))).alias("same"))
+
+
 @register("A8")
 def stored_classifier(spark, sf):
     """Predictions of the classifier after a round trip through storage."""

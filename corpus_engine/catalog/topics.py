@@ -13,6 +13,7 @@ from corpus_engine.catalog.base import (
     prepared,
     register,
     table,
+    tfidf_sql,
     with_sql,
 )
 from corpus_engine.catalog.evaluation import LANGS
@@ -121,6 +122,53 @@ def reduced_vectors(spark, sf):
     return tp.reduce_dims(_labelled_vectors(spark, sf).select("id", "embedding"), k=5)
 
 
+@register("H2", "SELECT unnest(range(5))::INTEGER AS component, true AS unit, true AS holds")
+def component_conditions(spark, sf):
+    """Do the principal components satisfy their equation? Covariance times component is variance times component.
+
+    The product is a sum over rows of projection times centred vector; no covariance matrix is made."""
+    vectors = _labelled_vectors(spark, sf).select("id", F.col("embedding").cast("array<double>").alias("x"))
+    model = tp.fit_reducer(vectors, "x", 5)
+    parts = [(k, j, float(v)) for j, row in enumerate(model.pc.toArray()) for k, v in enumerate(row)]
+    loads = settled(spark.createDataFrame(parts, "component int, axis int, load double"), "loads")
+    cells = vectors.select("id", F.posexplode("x").alias("axis", "v"))
+    means = settled(cells.groupBy("axis").agg(F.avg("v").alias("mean"), F.count(F.lit(1)).alias("n")), "means")
+    centred = cells.join(means, "axis").select("id", "axis", (F.col("v") - F.col("mean")).alias("v"), "n")
+    scores = centred.join(loads, "axis").groupBy("id", "component").agg(F.sum(F.col("v") * F.col("load")).alias("z"))
+    products = centred.join(scores, "id").groupBy("component", "axis").agg(
+        (F.sum(F.col("z") * F.col("v")) / (F.max("n") - 1)).alias("product"),
+        (F.sum(F.col("z") * F.col("z")) / (F.max("n") - 1)).alias("variance"),
+    )
+    checked = products.join(loads, ["component", "axis"])
+    return checked.groupBy("component").agg(
+        (F.abs(F.sum(F.col("load") * F.col("load")) - 1) < 1e-9).alias("unit"),
+        (F.max(F.abs(F.col("product") - F.col("variance") * F.col("load"))) < 1e-9).alias("holds"),
+    )
+
+
+@register("H3b H4", "SELECT unnest(range(10))::INTEGER AS cluster, true AS nearest, true AS mean")
+def kmeans_conditions(spark, sf):
+    """Has k-means ended? Every vector belongs to its nearest centre, and every centre is the mean direction of its own."""
+    vectors = _labelled_vectors(spark, sf).select("id", F.col("embedding").cast("array<double>").alias("x"))
+    centres = settled(tp.fit_kmeans(vectors, 10, "x"), "centres")
+    placed = settled(
+        tp.assign_topics(vectors, centres.select(F.col("cluster").alias("topic_id"), F.col("centre").alias("centroid")), column="x"),
+        "placed",
+    )
+    length = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda t, e: t + e * e))
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda t, e: t + e)
+    every = centres.select("cluster", F.col("centre").alias("c"))
+    far = F.lit(1.0) - dot("x", "c") / (length("x") * length("c"))
+    best = placed.join(F.broadcast(every), F.lit(True)).groupBy("id", "topic_id", "distance").agg(F.min(far).alias("least"))
+    nearest = best.groupBy(F.col("topic_id").alias("cluster")).agg(F.bool_and(F.col("distance") <= F.col("least") + 1e-9).alias("nearest"))
+    sums = placed.select(F.col("topic_id").alias("cluster"), F.posexplode(F.transform("x", lambda e: e / length("x"))).alias("axis", "v"))
+    means = sums.groupBy("cluster", "axis").agg(F.sum("v").alias("v")).groupBy("cluster").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("axis", "v"))), lambda e: e["v"]).alias("m")
+    )
+    same = F.lit(1.0) - dot("m", "centre") / (length("m") * length("centre")) < 1e-6
+    return nearest.join(means.join(centres, "cluster"), "cluster").select("cluster", "nearest", same.alias("mean"))
+
+
 @register("H3b")
 def kmeans_topic_ids(spark, sf):
     return tp.kmeans_topics(_labelled_vectors(spark, sf), k=10, noise_quantile=0.8)
@@ -233,6 +281,23 @@ def document_vectors(spark, sf):
     return tp.embed_documents(weights(spark, sf, **FULL)[2])
 
 
+@register(
+    "H1",
+    with_sql(
+        tfidf_sql(**FULL),
+        """, hashed AS (SELECT id, ('0x' || substr(md5(term), 1, 8))::BIGINT % 384 AS slot,
+                             sum(tfidf * (1 - 2 * (('0x' || substr(md5(term), 9, 1))::BIGINT % 2))) AS x FROM features GROUP BY 1, 2),
+        sized AS (SELECT id, slot, (x / sqrt(sum(x * x) OVER (PARTITION BY id)))::FLOAT::DOUBLE AS x FROM hashed)
+        SELECT id, slot::INTEGER AS slot, round(x, 5) AS x FROM sized WHERE abs(x) > 0.00001""",
+    ),
+)
+def document_vector_entries(spark, sf):
+    """The numbers of the articles' vectors that are not zero."""
+    vectors = tp.embed_documents(weights(spark, sf, **FULL)[2])
+    entries = vectors.select("id", F.posexplode(F.col("embedding").cast("array<double>")).alias("slot", "x"))
+    return entries.filter(F.abs("x") > 0.00001).select("id", "slot", F.round("x", 5).alias("x"))
+
+
 # --- topic dimension ---------------------------------------------------------------------------
 
 

@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpus_engine.operators.features import BROADCAST_ROWS
@@ -25,6 +25,20 @@ def topic_word_importance(coef: DataFrame, n: int = 15) -> DataFrame:
     )
 
 
+def signed_words(coef: DataFrame, towards: int, away: int, n: int = 15) -> DataFrame:
+    """The ``n`` words that speak most for one class against another, and the ``n`` that speak most against it:
+    ``rank, word, weight, sign``, from the largest weight to the smallest."""
+    weight = F.get("weights", F.lit(towards)) - F.get("weights", F.lit(away))
+    words = coef.select(F.col("term").alias("word"), weight.alias("weight"))
+    sides = []
+    for sign, order in (("+", [F.desc("weight"), "word"]), ("-", [F.asc("weight"), F.desc("word")])):
+        some = words.filter(F.col("weight") > 0 if sign == "+" else F.col("weight") < 0).orderBy(*order).limit(n)
+        sides.append(some.withColumn("sign", F.lit(sign)))
+    # 2 n rows
+    rank = F.row_number().over(Window.orderBy(F.desc("weight"), "word"))
+    return sides[0].unionByName(sides[1]).select(rank.alias("rank"), "word", "weight", "sign")
+
+
 def importance_of_biggest(
     coef: DataFrame, labelled: DataFrame, info: DataFrame, topics: int = 8, n: int = 12
 ) -> DataFrame:

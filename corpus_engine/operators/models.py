@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 from corpus_engine.session import settled
 
 
+ROWS_OF_A_PART = 4_000  # training rows that make a partition worth its cost in every iteration
+
+
 def label_table(df: DataFrame, label: str) -> DataFrame:
     """``(label_idx, label)``: sorted distinct labels numbered from 0. One row per class."""
     distinct = df.filter(F.col(label).isNotNull()).select(label).distinct()
@@ -55,12 +58,16 @@ def train_logistic(
 
     Spark averages the losses where ``C`` weighs their sum, hence ``regParam = 1 / (C * rows)``.
     Features are not standardised, so coefficients belong to the TF-IDF weights as they are.
-    The vectors are read once per iteration: they are cached, and spill to disk where they must.
+    The vectors are read once per iteration: they are cached, and spill to disk where they must. A table of few
+    rows is put together first, as an iteration pays for every partition.
     """
     data = df.select(F.col(label).cast("double").alias("label"), F.col(features).alias("features"))
     data = data.persist()
+    few = None
     try:
         rows = data.count()
+        if rows < ROWS_OF_A_PART * data.rdd.getNumPartitions():
+            few = data.coalesce(-(-rows // ROWS_OF_A_PART) or 1).persist()
         return LogisticRegression(
             family="multinomial",
             elasticNetParam=0.0,
@@ -68,8 +75,10 @@ def train_logistic(
             regParam=1.0 / (C * rows),
             maxIter=max_iter,
             aggregationDepth=3 if data.rdd.getNumPartitions() > 256 else 2,
-        ).fit(data)
+        ).fit(data if few is None else few)
     finally:
+        if few is not None:
+            few.unpersist()
         data.unpersist()
 
 
@@ -160,6 +169,27 @@ def coef_long(coef: DataFrame) -> DataFrame:
     )
 
 
+def loss_gradient(
+    rows: DataFrame, labels: DataFrame, probabilities: DataFrame, coef: DataFrame, C: float = 5.0, key: str = "id"
+) -> DataFrame:
+    """``(label_idx, largest)``: per class the largest part of the gradient of the penalised loss, from tables alone.
+
+    At the optimum of ``sum(loss) + |w|^2 / (2 C)`` it vanishes. ``rows`` has ``(key, term_id, tfidf)``, ``labels``
+    ``(key, label_idx)``, ``probabilities`` ``(key, probability)``, ``coef`` ``(term_id, weights)``. A term that no
+    row has counts with its weight alone. The intercepts, which have no penalty, are a part of their own.
+    """
+    told = probabilities.join(labels, key).select(
+        key, F.posexplode("probability").alias("class", "p"), "label_idx"
+    ).select(key, F.col("class").alias("label_idx"), (F.col("p") - (F.col("class") == F.col("label_idx")).cast("double")).alias("over"))
+    pulls = rows.join(told, key).groupBy("label_idx", "term_id").agg(F.sum(F.col("over") * F.col("tfidf")).alias("pull"))
+    weights = coef.select("term_id", F.posexplode("weights").alias("label_idx", "weight"))
+    parts = weights.join(pulls, ["label_idx", "term_id"], "left").select(
+        "label_idx", F.abs(F.coalesce("pull", F.lit(0.0)) + F.col("weight") / C).alias("part")
+    )
+    intercepts = told.groupBy("label_idx").agg(F.abs(F.sum("over")).alias("part"))
+    return parts.unionByName(intercepts).groupBy("label_idx").agg(F.max("part").alias("largest"))
+
+
 def save_model(model: LogisticRegressionModel | OneVsRestModel, labels: DataFrame, path: str) -> None:
     """Store the classifier and its label table, replacing earlier ones."""
     model.write().overwrite().save(f"{path}/model")

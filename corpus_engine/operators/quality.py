@@ -69,6 +69,13 @@ def expect(df: DataFrame, observed: Mapping[str, Column], bounds: Mapping[str, B
     return row.select(F.inline(F.array(*checks)))
 
 
+def assert_met(expectations: DataFrame) -> None:
+    """Stop with the names of the checks that are not met; one row per check."""
+    failed = [f"{r.check} is {r.observed}" for r in expectations.filter(~F.coalesce("passed", F.lit(False))).collect()]
+    if failed:
+        raise ValueError("expectations not met: " + ", ".join(sorted(failed)))
+
+
 def expect_table(df: DataFrame, bounds: Mapping[str, Bounds] | None = None) -> DataFrame:
     """Article-table expectations from one pass; bounds default to the published corpus."""
     limits: dict[str, Bounds] = {

@@ -11,16 +11,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpus_engine.functions import text as tx
-from corpus_engine.functions.vectors import (
-    cosine_distance,
-    sparse_struct,
-    squared_distance,
-    to_vector,
-)
+from corpus_engine.operators.centres import NEAREST, nearest_of
 from corpus_engine.operators.topk import top_n_per_group, with_share
 from corpus_engine.session import settled
 
 OUTLIER = -1
+CENTRE_CELLS = 8_000_000  # numbers of a matrix of centres that goes to every task: 64 MB
 
 
 def embed_documents(features: DataFrame, dim: int = 384, key: str = "id") -> DataFrame:
@@ -29,13 +25,12 @@ def embed_documents(features: DataFrame, dim: int = 384, key: str = "id") -> Dat
     Signed feature hashing of the TF-IDF weights. ``features`` is partitioned by document, so
     nothing moves. Bring an ``embedding`` column of your own where synonyms matter.
     """
-    digest = F.xxhash64("term")
+    # the first eight and the next hex digits of a term's md5 tell its place and its sign
+    digest = F.md5(F.col("term").cast("binary"))
+    slot = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % dim
+    sign = F.conv(F.substring(digest, 9, 1), 16, 10).cast("int") % 2
     hashed = (
-        features.select(
-            key,
-            F.pmod(digest, F.lit(dim)).cast("int").alias("slot"),
-            (F.col("tfidf") * F.when(F.shiftright(digest, 40).bitwiseAND(F.lit(1)) == 0, 1.0).otherwise(-1.0)).alias("x"),
-        )
+        features.select(key, slot.cast("int").alias("slot"), (F.col("tfidf") * (1 - 2 * sign)).alias("x"))
         .groupBy(key, "slot")
         .agg(F.sum("x").alias("x"))
         .groupBy(key)
@@ -45,9 +40,14 @@ def embed_documents(features: DataFrame, dim: int = 384, key: str = "id") -> Dat
         )
         .filter(F.col("length") > 0)
     )
-    values = F.transform("e", lambda p: p["x"] / F.col("length"))
-    vector = to_vector(sparse_struct(F.lit(dim), F.col("e.slot"), values))
-    return hashed.select(key, vector_to_array(vector, "float32").alias("embedding"))
+    zeros = lambda n: F.array_repeat(F.lit(0.0), n.cast("int"))
+    filled = F.aggregate(
+        "e",
+        F.array().cast("array<double>"),
+        lambda out, p: F.concat(out, zeros(p["slot"] - F.size(out)), F.array(p["x"] / F.col("length"))),
+        lambda out: F.concat(out, zeros(F.lit(dim) - F.size(out))),
+    )
+    return hashed.select(key, filled.cast("array<float>").alias("embedding"))
 
 
 def fit_reducer(df: DataFrame, column: str = "embedding", k: int = 5) -> PCAModel:
@@ -75,6 +75,15 @@ def _with_vector(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn("_v", array_to_vector(F.col(column).cast("array<double>")))
 
 
+def fit_kmeans(df: DataFrame, k: int, column: str = "embedding", seed: int = 42, rounds: int = 200) -> DataFrame:
+    """``(cluster, centre)`` of cosine k-means, run until no centre moves (at most ``rounds`` rounds)."""
+    vectors = _with_vector(df.select(column), column)
+    model = KMeans(k=k, distanceMeasure="cosine", seed=seed, maxIter=rounds, tol=1e-9, featuresCol="_v", predictionCol="_c").fit(vectors)
+    # k centres of `dim` numbers
+    centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
+    return df.sparkSession.createDataFrame(centres, "cluster int, centre array<double>")
+
+
 def kmeans_topics(
     df: DataFrame,
     k: int,
@@ -84,23 +93,13 @@ def kmeans_topics(
     key: str = "id",
 ) -> DataFrame:
     """``(key, topic_id)`` from cosine k-means; the farthest rows of each cluster become -1."""
-    vectors = _with_vector(df.select(key, column), column)
-    model = KMeans(k=k, distanceMeasure="cosine", seed=seed, featuresCol="_v", predictionCol="_c").fit(vectors)
-    # k centres of `dim` numbers
-    centres = df.sparkSession.createDataFrame(
-        [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
-        "_c int, _centre array<double>",
-    )
-    placed = (
-        model.transform(vectors)
-        .join(F.broadcast(centres), "_c")
-        .select(key, "_c", cosine_distance(F.col(column), F.col("_centre")).alias("_d"))
-    )
+    centres = fit_kmeans(df, k, column, seed).select(F.col("cluster").alias("topic_id"), F.col("centre").alias("centroid"))
+    placed = settled(assign_topics(df.select(key, column), centres, column=column).select(key, "topic_id", "distance"), "placed")
     radii = settled(
-        placed.groupBy("_c").agg(F.percentile_approx("_d", noise_quantile, 10_000).alias("_r")), "radii"
+        placed.groupBy("topic_id").agg(F.percentile_approx("distance", noise_quantile, 10_000).alias("_r")), "radii"
     )
-    return placed.join(radii, "_c").select(
-        key, F.when(F.col("_d") <= F.col("_r"), F.col("_c")).otherwise(OUTLIER).alias("topic_id")
+    return placed.join(radii, "topic_id").select(
+        key, F.when(F.col("distance") <= F.col("_r"), F.col("topic_id")).otherwise(OUTLIER).alias("topic_id")
     )
 
 
@@ -128,32 +127,30 @@ def assign_topics(
 ) -> DataFrame:
     """Add ``topic_id`` and ``distance`` of the nearest centroid; beyond ``radius`` the id is -1.
 
-    ``centroids`` may have a ``radius`` of its own per topic. The centroids, one row per topic,
-    travel as one array; each row picks its minimum in place. Ties go to the smaller topic id;
-    without any centroid every row is an outlier.
+    ``centroids`` may have a ``radius`` of its own per topic. Blocks of rows are compared with a matrix of
+    centres, see ``centres``; up to ``CENTRE_CELLS`` numbers of it go along with a pass, and more centres take
+    further passes over the arrays. Lengths are worked out once per block and centre. Ties go to the smaller
+    topic id; without any centroid, or without an array, every row is an outlier.
     """
     own = F.col("radius") if "radius" in centroids.columns else F.lit(radius)
-    fields = F.struct("topic_id", "centroid", own.cast("double").alias("radius"))
-    table = centroids.agg(F.sort_array(F.collect_list(fields))).scalar()
-    rows = df.withColumns({"_x": F.col(column).cast("array<double>"), "_centres": table})
-
-    def gap(c):
-        if metric == "cosine":
-            return cosine_distance(F.col("_x"), c["centroid"])
-        return F.sqrt(squared_distance(F.col("_x"), c["centroid"]))
-
-    nearest = F.array_min(
-        F.transform(
-            "_centres",
-            lambda c: F.struct(gap(c).alias("d"), c["topic_id"].alias("t"), c["radius"].alias("r")),
-        )
-    )
-    found = rows.withColumn("_near", nearest)
-    outside = F.isnull("_near.t") | F.coalesce(F.col("_near.d") > F.col("_near.r"), F.lit(False))
-    topic = F.when(outside, OUTLIER).otherwise(F.col("_near.t"))
-    return found.select(
-        *df.columns, topic.cast("int").alias("topic_id"), F.col("_near.d").alias("distance")
-    )
+    table = settled(centroids.select(F.col("topic_id").cast("int").alias("topic_id"), "centroid", own.cast("double").alias("radius")), "centres")
+    count, width = table.agg(F.count(F.lit(1)), F.max(F.size("centroid"))).first()
+    step = max(1, CENTRE_CELLS // max(1, width or 1))
+    found = df.withColumn("_near", F.lit(None).cast(f"struct<{NEAREST}>"))
+    below = None
+    for _ in range(0, count, step):
+        rest = table if below is None else table.filter(F.col("topic_id") > below)
+        some = rest.orderBy("topic_id").limit(step).select("topic_id", "centroid").collect()
+        below = some[-1].topic_id
+        near = nearest_of([c.topic_id for c in some], [c.centroid for c in some], metric == "cosine")
+        found = found.withColumn("_more", near(F.col(column).cast("array<double>")))
+        nearer = F.col("_near.topic").isNull() | (F.col("_more.distance") < F.col("_near.distance"))
+        found = found.withColumn("_near", F.when(nearer, F.col("_more")).otherwise(F.col("_near"))).drop("_more")
+    radii = table.select(F.col("topic_id").alias("_topic"), F.col("radius").alias("_radius"))
+    judged = found.join(radii, F.col("_near.topic") == F.col("_topic"), "left")
+    outside = F.col("_near.topic").isNull() | F.coalesce(F.col("_near.distance") > F.col("_radius"), F.lit(False))
+    topic = F.when(outside, OUTLIER).otherwise(F.col("_near.topic"))
+    return judged.select(*df.columns, topic.cast("int").alias("topic_id"), F.col("_near.distance").alias("distance"))
 
 
 def class_term_weights(df: DataFrame, class_col: str, text: str = "text_clean") -> DataFrame:

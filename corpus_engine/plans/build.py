@@ -9,7 +9,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,10 +45,13 @@ class Store:
         df.write.mode("overwrite").parquet(self.path(name))
 
 
-def build_articles(spark: SparkSession, csv_paths: Sequence[str], store: Store) -> None:
+def build_articles(
+    spark: SparkSession, csv_paths: Sequence[str], store: Store, expected: Mapping[str, ql.Bounds] | None = None
+) -> None:
     """Read the CSVs once, clean, store; with the cleaning log and the broken rules next to it.
 
-    Ids that occur more than once are an error: later steps join on them.
+    Ids that occur more than once are an error: later steps join on them. With bounds ``expected`` (by check, see
+    ``quality.expect_table``) a check that is not met stops the build, after its table is written.
     """
     store.write(src.read_articles_csv(spark, csv_paths), "raw")
     raw = store.read(spark, "raw")
@@ -59,7 +62,9 @@ def build_articles(spark: SparkSession, csv_paths: Sequence[str], store: Store)
     tb.write_table(cleaned, store.path("articles"))
     articles = src.read_articles(spark, store.path("articles"))
     store.write(ql.validate_articles(articles), "broken_rules")
-    store.write(ql.expect_table(articles), "table_expectations")
+    store.write(ql.expect_table(articles, expected), "table_expectations")
+    if expected is not None:
+        ql.assert_met(store.read(spark, "table_expectations"))
 
 
 def build_features(
@@ -70,11 +75,13 @@ def build_features(
     max_df: float = 0.95,
     max_features: int = 50_000,
     fit_on: DataFrame | None = None,
+    expected: Mapping[str, ql.Bounds] | None = None,
 ) -> None:
     """Prepare the text, fit the vocabulary, weigh the terms; every step reads the stored one before.
 
     The vocabulary is fitted on all articles; ``fit_on`` (a frame of ids, such as the training
-    side of a split) keeps held-out articles out of it.
+    side of a split) keeps held-out articles out of it. Bounds ``expected`` stop the build as in
+    ``build_articles``, see ``quality.expect_features``.
     """
     articles = src.read_articles(spark, store.path("articles"))
     prepared = cl.preprocess(cl.drop_short(articles, min_chars))
@@ -86,7 +93,9 @@ def build_features(
     vocab = tb.read_vocab(spark, store.path("vocab"))
     entries = ft.entry_structs(ft.document_entries(docs, vocab), vocab)
     store.write(entries, "features")
-    store.write(ql.expect_features(feature_rows(spark, store), vocab, docs), "feature_expectations")
+    store.write(ql.expect_features(feature_rows(spark, store), vocab, docs, expected), "feature_expectations")
+    if expected is not None:
+        ql.assert_met(store.read(spark, "feature_expectations"))
 
 
 def feature_rows(spark: SparkSession, store: Store) -> DataFrame:
@@ -149,6 +158,7 @@ def discover_topics(
         "in_fit", F.coalesce("_fit", F.lit(False))
     )
     store.write(numbered.select("id", "topic_id", "in_fit"), "topics")
+    store.write(tp.label_status(store.read(spark, "topics")), "label_status")
     topics = articles.join(store.read(spark, "topics"), "id")
     info = tp.topic_info(topics, tp.class_tfidf(topics, "topic_id", 10), fit_flag="in_fit")
     store.write(info, "topic_info_table")
@@ -231,7 +241,7 @@ def evaluate_models(
     spark: SparkSession, store: Store, words: int = 15, experiment: str = "topic-classification"
 ) -> dict[str, DataFrame]:
     """The evaluation tables of the linear classifier on the held-out articles; logs the run and
-    stores the class report."""
+    stores the class report, the confusion table and the attributions."""
     preds = store.read(spark, "predictions").filter("model = 'logistic_regression'").drop("model")
     coef = store.read(spark, "coef")
     _, labels = md.load_model(spark, store.path("classifier"))
@@ -243,6 +253,8 @@ def evaluate_models(
     tb.write_csv(importance, store.path("topic_word_importance"))
     attributions = ex.linear_attribution(rows, coef, preds, sp.background_ids(split))
     store.write(mt.classification_report(preds), "class_report")
+    store.write(mt.confusion_matrix(preds, normalize=True), "confusions")
+    store.write(ex.attribution_extremes(attributions), "attributions")
     scores = mt.f1(preds).first()
     tb.append_run(
         spark, store.path("runs"), "evaluation", experiment, "logistic_regression_eval",
@@ -252,13 +264,13 @@ def evaluate_models(
     return {
         "accuracy": mt.accuracy(preds),
         "f1": mt.f1(preds),
-        "report": mt.classification_report(preds),
-        "confusion": mt.confusion_matrix(preds, normalize=True),
+        "report": store.read(spark, "class_report"),
+        "confusion": store.read(spark, "confusions"),
         "worst_confusions": mt.worst_confusions(preds),
         "hardest": mt.hardest_topics(preds),
         "importance": importance,
         "importance_of_biggest": ex.importance_of_biggest(coef, split, info),
-        "attributions": ex.attribution_extremes(attributions),
+        "attributions": store.read(spark, "attributions"),
     }
 
 

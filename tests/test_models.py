@@ -161,6 +161,10 @@ def test_jobs_from_csv_to_scores(spark, tmp_path):
     store = build.Store(scratch_path(spark, "store"))
     build.build_articles(spark, planted(tmp_path), store)
     assert store.read(spark, "articles").count() == 241
+    with pytest.raises(ValueError, match="row_count is 241"):
+        build.build_articles(spark, planted(tmp_path), store, expected={})
+    with pytest.raises(ValueError, match="features is"):
+        build.build_features(spark, store, min_df=3, max_features=500, expected={"rows": (100, None), "sparsity": (0, 1)})
     build.build_features(spark, store, min_df=3, max_features=500)
     assert store.read(spark, "articles_clean").count() == 240
     build.discover_topics(spark, store, sample_size=200, min_topic_size=15, min_pts=6)
@@ -173,7 +177,10 @@ def test_jobs_from_csv_to_scores(spark, tmp_path):
     assert set(best.values()) == set(TOPICS)
     comparison = {r.model: r for r in build.train_models(spark, store, max_iter=50, boosted_rounds=1).collect()}
     assert comparison["logistic_regression"].accuracy > 0.8
+    status = store.read(spark, "label_status").first()
+    assert status.total == 240 and status.labelled + status.outliers == 240
     tables = build.evaluate_models(spark, store)
+    assert store.read(spark, "confusions").count() > 0 and store.read(spark, "attributions").count() > 0
     assert tables["report"].count() == len(info) + 3
     assert tables["importance"].filter("rank = 1").count() == len(info)
     assert tables["attributions"].count() > 0
