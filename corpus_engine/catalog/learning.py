@@ -408,19 +408,6 @@ def logistic_conditions(spark, sf):
     return _gradients(spark, t, t.model, 5.0)
 
 
-@register("I4", "SELECT c AS \"C\", k::INTEGER AS label_idx, true AS at_optimum FROM (SELECT unnest([0.01, 1.0, 50.0]) AS c) CROSS JOIN (SELECT unnest([0, 1, 2, 3]) AS k)")
-def sweep_conditions(spark, sf):
-    """The same for three strengths of the sweep."""
-    t = trained(spark, sf)
-    train = t.train.persist()
-    sides = []
-    for c in (0.01, 1.0, 50.0):
-        found = _gradients(spark, t, md.train_logistic(train, C=c, max_iter=1000), c)
-        sides.append(settled(found.select(F.lit(c).alias("C"), "label_idx", "at_optimum"), "gradients"))
-    train.unpersist()
-    return sides[0].unionByName(sides[1]).unionByName(sides[2])
-
-
 @register("A8", with_sql(PREPARED, "SELECT id, true AS same FROM prepared"))
 def stored_classifier_predicts_alike(spark, sf):
     """Every article's prediction by the classifier as trained and as stored and opened again."""
