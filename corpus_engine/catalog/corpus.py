@@ -418,9 +418,9 @@ def first_articles(spark, sf):
     "L1",
     with_sql(
         DATED,
-        r"""SELECT id, 'title_blank' AS rule, 'title must not be empty' AS message FROM dated
+        r"""SELECT id, 'title_blank' AS rule, 'no title is given' AS message FROM dated
            WHERE title IS NULL OR NOT regexp_matches(title, '\S')
-           UNION ALL SELECT id, 'publication_blank', 'publication must not be empty' FROM dated
+           UNION ALL SELECT id, 'publication_blank', 'no outlet is named' FROM dated
            WHERE publication IS NULL OR NOT regexp_matches(publication, '\S')
            UNION ALL SELECT id, 'content_short', 'content too short' FROM dated WHERE coalesce(length(content), 0) < 40""",
     ),

@@ -16,8 +16,8 @@ def article_rules(min_content: int = 10) -> dict[str, tuple[Column, str]]:
     """The row contract: rule -> (violated when, message)."""
     return {
         "id_missing": (F.col("id").isNull(), "id must be an integer"),
-        "title_blank": (is_blank(F.col("title")), "title must not be empty"),
-        "publication_blank": (is_blank(F.col("publication")), "publication must not be empty"),
+        "title_blank": (is_blank(F.col("title")), "no title is given"),
+        "publication_blank": (is_blank(F.col("publication")), "no outlet is named"),
         "content_short": (
             F.coalesce(F.length("content"), F.lit(0)) < min_content,
             "content too short",
