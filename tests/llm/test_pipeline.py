@@ -35,5 +35,5 @@ def test_stages_follow_each_other(spark, tmp_path):
 
 def test_all_queries_are_registered():
     names = list(queries.load())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{n}" for n in range(1, 14)}
     assert "pipeline" in names
