@@ -92,3 +92,12 @@ def test_forest_learns_and_its_shares_add_up(spark, planted):
     rows = md.predict(model, df).collect()
     assert all(abs(sum(r.probability) - 1) < 1e-9 and len(r.probability) == 4 for r in rows)
     assert np.mean([r.prediction == r.label_idx for r in rows]) > 0.85
+
+
+def test_entries_add_up_in_any_portions():
+    keys, weights = np.array([3, 1, 3, 7, 1]), np.arange(10.0).reshape(5, 2)
+    whole = tr.added_up([keys], [weights], 2)
+    first = tr.added_up([keys[:3]], [weights[:3]], 2)
+    again = tr.added_up([first[0], keys[3:]], [first[1], weights[3:]], 2)
+    assert whole[0].tolist() == again[0].tolist() == [1, 3, 7] and np.array_equal(whole[1], again[1])
+    assert tr.added_up([], [], 2)[1].shape == (0, 2)
