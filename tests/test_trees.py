@@ -101,3 +101,47 @@ def test_entries_add_up_in_any_portions():
     again = tr.added_up([first[0], keys[3:]], [first[1], weights[3:]], 2)
     assert whole[0].tolist() == again[0].tolist() == [1, 3, 7] and np.array_equal(whole[1], again[1])
     assert tr.added_up([], [], 2)[1].shape == (0, 2)
+
+
+def test_no_sums_of_boosting_are_moved(spark, planted):
+    """A level is one stage: tasks have all rows of their features, and give back the best cuts."""
+    df = table(spark, *planted)
+    group = "boosting-stages"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        stages = []
+        for rounds in (2, 4):
+            md.train_boosted(df, max_iter=rounds, max_depth=3)
+            told = spark.sparkContext.statusTracker()
+            stages.append(sum(len(told.getJobInfo(j).stageIds) for j in told.getJobIdsForGroup(group)))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    first, both = stages
+    # the second training has all stages of the first, and those of two more rounds of three levels
+    assert both - 2 * first <= 2 * 3 * (1 + 1)  # a stage, and the shuffle behind the kept columns, which is skipped
+
+
+def test_rows_of_a_cell_add_up_in_any_chunks(monkeypatch):
+    rng = np.random.default_rng(7)
+    cells = tr.Cells([np.array(sorted(rng.normal(size=n))) for n in rng.integers(1, 9, 40)])
+    dense = rng.normal(size=(300, 40)) * (rng.random((300, 40)) < 0.4)
+    row, feature = np.nonzero(dense)
+    cell = cells.of(feature, dense[row, feature])
+    order = np.argsort(cell, kind="stable")
+    block = tr.Columns(0, row[order].astype(np.int32), np.bincount(cell, minlength=len(cells)).astype(np.int32))
+    lack, inside, node = rng.normal(size=(2, 300)).astype(np.float32), rng.random(300) < 0.8, rng.integers(0, 3, (2, 300)).astype(np.uint8)
+    total = np.array([[(own := inside & (node[k] == u)).sum(), lack[k][own].sum()] for k in range(2) for u in range(2)], float)
+    states = []
+    for size in (40, 100_000):
+        monkeypatch.setattr(tr, "CHUNK", size)
+        states.append(dict(tr.best_of_columns(iter([block]), cells, lack, inside, np.minimum(node, 2), total, 2)))
+    for unit, (gain, back, right, rows, bits) in states[0].items():
+        k, u = divmod(unit, 2)
+        f = cells.feature[-back]
+        side = dense[:, f] > cells.cut(-back)
+        own = inside & (node[k] == u)
+        n, s = own.sum(), lack[k][own].sum(dtype=float)
+        l, sl = (own & ~side).sum(), lack[k][own & ~side].sum(dtype=float)
+        assert np.isclose(gain, sl**2 / l + (s - sl) ** 2 / (n - l) - s**2 / n, atol=1e-4)
+        assert sorted(tr._rows(rows, bits, 300)) == np.flatnonzero((node[k] == u) & (side == right)).tolist()
+    assert {u: x[1:] for u, x in states[0].items()} == {u: x[1:] for u, x in states[1].items()} and len(states[0]) == 4
